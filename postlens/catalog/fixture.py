@@ -12,6 +12,7 @@ from postlens.catalog.registry import table
 from postlens.functions.text import logo_key
 from postlens.plans import gold, silver
 from postlens.plans.bronze import stg_board_a_jobs, stg_board_b_jobs
+from postlens.session import materialise
 
 POSTINGS = """
 SELECT l_orderkey * 10 + l_linenumber AS id,
@@ -48,7 +49,8 @@ JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = {n: table(spark, sf_dir, n) for n in ("lineitem", "orders", "part", "customer")}
+    views = {n: table(spark, sf_dir, n) for n in ("orders", "part", "customer")}
+    views["lineitem"] = table(spark, sf_dir, "lineitem", spread=("l_orderkey", "l_linenumber", "l_partkey"))
     sql = POSTINGS
     for name in views:
         sql = sql.replace(f"FROM {name} ", f"FROM {{{name}}} ").replace(f"JOIN {name} ", f"JOIN {{{name}}} ")
@@ -108,6 +110,11 @@ def fact(spark, sf_dir):
     return gold.fct_jobs(unified(spark, sf_dir))
 
 
+def unified_table(spark, sf_dir):
+    """The silver table written once, for reports that read it several times (dimension, fact, totals)."""
+    return materialise(unified(spark, sf_dir).drop("descriptions", "requirements"), "int_jobs_unified")
+
+
 # ---- the checking side: the same steps in DuckDB SQL ----------------------------------------
 
 WORD = r"[\p{L}\p{M}\p{Nd}_]"

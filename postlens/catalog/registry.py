@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlens.sources.tables import spread_small
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -22,5 +24,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: tuple[str, ...] = ()) -> DataFrame:
+    """A driver table; `spread` names key columns of a table whose rows are costly to process."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(df, *spread) if spread else df

@@ -33,11 +33,14 @@ def upper_trim(c: Column | str) -> Column:
     return F.upper(strip(c))
 
 
+_MARK = "\ue000 "  # private-use character and a space: makes `initcap` start a word there
+
+
 def initcap_trim(c: Column | str) -> Column:
-    """Upper-case the first letter after every word boundary (`initcap` would only look at spaces)."""
-    pieces = F.split(lower_trim(c), r"(?U)\b")
-    capital = lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2**31 - 1))
-    return F.array_join(F.transform(pieces, capital), "")
+    """Upper-case the first letter after every word boundary; `initcap` alone only looks at spaces."""
+    inner_start = r"([^\p{L}\p{M}\p{Nd}_ ])(?=[\p{L}\p{M}\p{Nd}_])"
+    marked = F.regexp_replace(lower_trim(c), inner_start, f"$1{_MARK}")
+    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
 
 
 def strip_commas(c: Column | str) -> Column:

@@ -8,18 +8,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+GROUP_SIZE = 16  # patterns tested together first; measured best between 8 and 21
+
+
 def regex_lookup(df: DataFrame, text: Column, rows: Iterable[Sequence[str]], names: Sequence[str]) -> DataFrame:
     """Left join `text rlike pattern`: one output row per matching pattern, one with NULLs when none matches.
 
     `rows` are (pattern, value...) with values named `names`. The patterns become literals of one projection,
-    so nothing is shuffled or broadcast and each pattern is compiled once per task.
+    so nothing is shuffled or broadcast and each pattern is compiled once per task. Long lists are tested in
+    groups first (any of the group's patterns), then one by one inside the groups that matched.
     """
-    hits = [
-        F.when(text.rlike(pattern), F.struct(*[F.lit(v).alias(n) for v, n in zip(values, names)]))
-        for pattern, *values in rows
-    ]
-    matched = df.select("*", F.explode_outer(F.array_compact(F.array(*hits))).alias("_hit"))
-    return matched.select("*", *[F.col("_hit")[n].alias(n) for n in names]).drop("_hit")
+    rows = list(rows)
+    groups = [rows[i : i + GROUP_SIZE] for i in range(0, len(rows), GROUP_SIZE)]
+    hits = [_hits(group, names) for group in groups]
+    if len(groups) > 1:
+        anyof = [_quoted("|".join(f"(?:{pattern})" for pattern, *_ in group)) for group in groups]
+        hits = [f"CASE WHEN _text RLIKE {a} THEN {h} END" for a, h in zip(anyof, hits)]
+    found = F.explode_outer(F.expr(f"flatten(array_compact(array({', '.join(hits)})))")).alias("_hit")
+    matched = df.withColumn("_text", text).select(*df.columns, found)
+    return matched.select(*df.columns, *[F.col("_hit")[n].alias(n) for n in names])
+
+
+def _hits(rows: list[Sequence[str]], names: Sequence[str]) -> str:
+    """SQL array of the values whose pattern matches."""
+    fields = lambda values: ", ".join(f"{_quoted(v)} AS `{n}`" for v, n in zip(values, names))
+    cases = [f"CASE WHEN _text RLIKE {_quoted(p)} THEN struct({fields(v)}) END" for p, *v in rows]
+    return f"array_compact(array({', '.join(cases)}))"
+
+
+def _quoted(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def read_patterns(table: DataFrame, pattern: str, names: Sequence[str], max_rows: int = 10_000) -> list[tuple]:

@@ -41,6 +41,12 @@ def read_table(spark: SparkSession, name: str, jdbc: dict | None = None) -> Data
     return spark.read.table(name)
 
 
+def spread_small(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread a scan that has fewer partitions than the cluster has cores; a large scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
