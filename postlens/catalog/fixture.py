@@ -122,7 +122,8 @@ WORD = r"[\p{L}\p{M}\p{Nd}_]"
 
 def initcap_sql(c: str) -> str:
     pieces = f"regexp_extract_all(lower(trim({c})), '{WORD}+|[^\\p{{L}}\\p{{M}}\\p{{Nd}}_]+')"
-    return f"array_to_string([concat(upper(x[1]), x[2:]) for x in {pieces}], '')"
+    # a sharp s has no single upper-case letter and stays as it is
+    return f"array_to_string([concat(CASE x[1] WHEN 'ß' THEN 'ß' ELSE upper(x[1]) END, x[2:]) for x in {pieces}], '')"
 
 
 def key_sql(*parts: str) -> str:

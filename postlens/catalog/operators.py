@@ -325,7 +325,7 @@ def star_left_join(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
     measures = (F.count("c_custkey").alias("customers"), reports.distinct("c_mktsegment").alias("segments"))
-    return reports._per_member(nation, customer, "n_nationkey", *measures, counts=("customers", "segments"))
+    return reports.per_member(nation, customer, "n_nationkey", *measures, counts=("customers", "segments"))
 
 
 @query(
@@ -431,10 +431,11 @@ def update_logos(spark, sf_dir):
 
 @query(
     "not_exists_new",
-    "SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)",
+    """SELECT c_custkey, c_name FROM customer c
+       WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P')""",
 )
 def not_exists_new(spark, sf_dir):
-    target = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    target = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return merge.insert_absent(target, table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"])
 
 

@@ -40,7 +40,9 @@ def initcap_trim(c: Column | str) -> Column:
     """Upper-case the first letter after every word boundary; `initcap` alone only looks at spaces."""
     inner_start = r"([^\p{L}\p{M}\p{Nd}_ ])(?=[\p{L}\p{M}\p{Nd}_])"
     marked = F.regexp_replace(lower_trim(c), inner_start, f"$1{_MARK}")
-    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    sharp_s, held = F.lit("ß"), F.lit("\ue001")  # has no single upper-case letter: stays as it is
+    capital = F.replace(F.initcap(F.replace(marked, sharp_s, held)), held, sharp_s)
+    return F.replace(capital, F.lit(_MARK), F.lit(""))
 
 
 def strip_commas(c: Column | str) -> Column:

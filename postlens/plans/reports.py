@@ -36,14 +36,14 @@ def joined_values(column: str) -> Column:
     return F.nullif(F.array_join(F.sort_array(F.collect_set(column)), ", "), F.lit(""))
 
 
-def _per_member(dim: DataFrame, fact: DataFrame, key: str, *measures: Column, counts: tuple[str, ...]) -> DataFrame:
+def per_member(dim: DataFrame, fact: DataFrame, key: str, *measures: Column, counts: tuple[str, ...]) -> DataFrame:
     """Dimension members with their measures; counts are 0 for a member without postings."""
     return dim.join(fact.groupBy(key).agg(*measures), key, "left").fillna(0, subset=list(counts))
 
 
 def rpt_company_hiring_summary(dim_company: DataFrame, fact: DataFrame) -> DataFrame:
     counts = ("total_job_postings", "num_locations", "discord_postings", "unique_job_titles")
-    rows = _per_member(
+    rows = per_member(
         dim_company,
         fact,
         "company_id",
@@ -91,7 +91,7 @@ def _against_market(rows: DataFrame) -> DataFrame:
 
 
 def rpt_education_distribution(dim_education: DataFrame, fact: DataFrame) -> DataFrame:
-    rows = _per_member(
+    rows = per_member(
         dim_education.select("education_id", "education_requirement", "education_sort_order"),
         fact,
         "education_id",
@@ -124,7 +124,7 @@ def rpt_education_distribution(dim_education: DataFrame, fact: DataFrame) -> Dat
 
 def rpt_job_category_analysis(dim_job_category: DataFrame, fact: DataFrame) -> DataFrame:
     counts = ("num_positions", "num_companies", "num_locations", "remote_positions", "hybrid_positions")
-    rows = _per_member(
+    rows = per_member(
         dim_job_category.select("job_category_id", "job_category"),
         fact,
         "job_category_id",
@@ -165,7 +165,7 @@ def rpt_location_salary_analysis(dim_location: DataFrame, fact: DataFrame) -> Da
     counts = (
         "total_jobs", "num_companies", "num_platforms", "remote_jobs", "hybrid_jobs", "onsite_jobs", "fulltime_jobs",
     )
-    rows = _per_member(
+    rows = per_member(
         dim_location.select("location_id", "job_location", "country"),
         fact,
         "location_id",
@@ -246,7 +246,7 @@ def rpt_salary_benchmark(dim_salary_band: DataFrame, fact: DataFrame, exact: boo
     quartiles = {"salary_q1": 0.25, "salary_median": 0.5, "salary_q3": 0.75}
     counts = ("num_positions", "salaried_positions", "remote_positions", "hybrid_positions", "onsite_positions")
     sketch = F.percentile_approx("salary_avg_million", list(quartiles.values()), 10_000).alias("_quartiles")
-    rows = _per_member(
+    rows = per_member(
         dim_salary_band.select(
             "salary_band_id", "salary_band", "salary_band_sort_order", "lower_bound_vnd", "upper_bound_vnd"
         ),
@@ -271,7 +271,7 @@ def rpt_salary_benchmark(dim_salary_band: DataFrame, fact: DataFrame, exact: boo
 
 def rpt_work_model_analysis(dim_work_model: DataFrame, fact: DataFrame) -> DataFrame:
     """Work models are free text where no known word matches, so their number is not bounded."""
-    rows = _per_member(
+    rows = per_member(
         dim_work_model.select("work_model_id", "work_model_normalized", "work_model_group", "work_model_sort_order"),
         fact,
         "work_model_id",
