@@ -1 +1,114 @@
-"""To come."""
+"""Web pages and logo pictures."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from postlens import fixed_values as fv
+from postlens.catalog.registry import query, table
+from postlens.operators import assets, pages
+
+PAGE_URL = """concat(regexp_extract(url, '^([^?#]*)', 1), '?', array_to_string(list_concat(
+    [CASE WHEN p LIKE '%=%' THEN p ELSE p || '=' END FOR p IN string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&')
+     IF p <> '' AND split_part(p, '=', 1) <> 'page'], ['page=' || {page}]), '&'), regexp_extract(url, '(#.+)$', 1))"""
+
+
+@query("page_url_rewrite", f"SELECT page_id, {PAGE_URL.format(page='9')} AS page_url FROM pages")
+def page_url_rewrite(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", pages.page_url("url", F.lit(9)).alias("page_url"))
+
+
+@query(
+    "page_sequence",
+    f"""SELECT page_id, page::INTEGER AS page, {PAGE_URL.format(page='page')} AS page_url
+        FROM (SELECT *, unnest(range(1, greatest(least(page_id % 8, 5), 1) + 1)) AS page FROM pages)""",
+)
+def page_sequence(spark, sf_dir):
+    listings = table(spark, sf_dir, "pages").withColumn("total", F.col("page_id") % 8)
+    return pages.listing_pages(listings, "total", 5).select("page_id", "page", "page_url")
+
+
+@query(
+    "url_canonical",
+    """SELECT page_id, string_split(url || '?lab_feature=' || page_id::VARCHAR, '?lab_feature=')[1] AS canonical,
+       coalesce(try_cast(replace(regexp_extract('1 / ' || page_id::VARCHAR || '.000 trang', '/\\s*([\\d.]+)\\s*trang', 1), '.', '')
+         AS INTEGER), 1) AS total FROM pages""",
+)
+def url_canonical(spark, sf_dir):
+    tracked = F.concat("url", F.lit(fv.TRACKING_SUFFIX_A), F.col("page_id").cast("string"))
+    shown = F.concat(F.lit("1 / "), F.col("page_id").cast("string"), F.lit(".000 trang"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        pages.canonical_url(tracked, fv.TRACKING_SUFFIX_A).alias("canonical"),
+        pages.total_pages(shown).alias("total"),
+    )
+
+
+def _pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages", spread=("page_id",))
+
+
+@query("challenge_pages")
+def challenge_pages(spark, sf_dir):
+    shown = pages.page_text(_pages(spark, sf_dir))
+    return shown.select(
+        "page_id",
+        pages.is_challenge("title", "body", fv.CHALLENGE_SIGNS_A).alias("challenge_a"),
+        pages.is_challenge("title", "body", fv.CHALLENGE_SIGNS_B).alias("challenge_b"),
+    )
+
+
+@query("page_sections")
+def page_sections(spark, sf_dir):
+    return pages.page_text(_pages(spark, sf_dir))
+
+
+@query("last_page")
+def last_page(spark, sf_dir):
+    return pages.page_text(_pages(spark, sf_dir)).select("page_id", "last_page")
+
+
+ARTICLES = pages.Cards(
+    card=("article",),
+    picks=(
+        pages.Pick("title", (("h1",),)),
+        pages.Pick("title", (("h2",),)),
+        pages.Pick("link", (("a",),), ("href",)),
+        pages.Pick("links", (), links=True),
+    ),
+)
+
+
+@query("listing_cards")
+def listing_cards(spark, sf_dir):
+    return pages.listing_cards(_pages(spark, sf_dir), ARTICLES)
+
+
+@query("detail_fields")
+def detail_fields(spark, sf_dir):
+    return pages.detail_fields(_pages(spark, sf_dir), pages.read_detail_a)
+
+
+HEADS = {0: "89504E470D0A1A0A", 1: "FFD8FFDB00430001", 2: "474946383961", 3: "424D3600"}
+HEAD_SQL = "CASE s_suppkey % 5 " + " ".join(f"WHEN {k} THEN unhex('{v}')" for k, v in HEADS.items()) + " ELSE unhex('00') END"
+KIND_SQL = "CASE s_suppkey % 5 WHEN 0 THEN 'png' WHEN 1 THEN 'jpeg' WHEN 2 THEN 'gif' WHEN 3 THEN 'bmp' END"
+LOGO_URL = "concat('https://img.example/', cast(s_suppkey AS varchar(30)), '.png')"
+
+
+def _pictures(spark, sf_dir):
+    suppliers = table(spark, sf_dir, "supplier")
+    body = F.encode(F.repeat("s_name", 6), "UTF-8")
+    return suppliers.select(F.expr(LOGO_URL).alias("logo_url"), F.concat(F.expr(HEAD_SQL), body).alias("content"))
+
+
+@query(
+    "asset_names",
+    f"""SELECT logo_url, kind, concat('logos/', md5(logo_url), '.', kind) AS object_name,
+        'data:image/' || CASE kind WHEN 'png' THEN 'png' ELSE 'jpeg' END || ';base64,' || to_base64(content) AS logo_path,
+        'stored' AS status FROM (SELECT {LOGO_URL} AS logo_url, {KIND_SQL} AS kind,
+        {HEAD_SQL} || encode(repeat(s_name, 6)) AS content FROM supplier) WHERE kind IS NOT NULL""".replace(
+        "concat('logos/', md5(logo_url), '.', kind)", "'logos/' || md5(logo_url) || '.' || kind"
+    ),
+)
+def asset_names(spark, sf_dir):
+    return assets.stored_or_raise(assets.store_logos(_pictures(spark, sf_dir)))
