@@ -98,8 +98,7 @@ def throttle_sliding(
                 if (owner, segment) != current:
                     current, log = (owner, segment), deque()
                 out.append(slide(log, at, limit, window))
-            decided = pd.DataFrame(out, columns=["allowed", "remaining", "retry_after"], index=batch.index)
-            yield pd.concat([batch[["key", "seq", "at"]], decided], axis=1)
+            yield decisions_of(batch, out)
 
     segments = with_segment(timed, window).repartition("key", "segment").sortWithinPartitions("key", "segment", "at", "seq")
     return _result(segments.mapInPandas(decide, _schema(timed)), key, ts, order)
@@ -130,29 +129,16 @@ def _summary(at: np.ndarray, chunk_start: int, window: int) -> list[tuple[int, i
     return [(int(first[i]), int(ends[i])) for i in last_of_run]
 
 
-def _decide_chunk(at: np.ndarray, opened: int, before: int, limit: int, window: int) -> pd.DataFrame:
-    """Decisions of one chunk; a window opened at `opened` (or never, below 0) holds `before` events already."""
-    after = _next_start(at, window)
-    start = np.empty(len(at), dtype=np.int64)
-    count = np.empty(len(at), dtype=np.int64)
-    i = 0
-    if opened >= 0:
-        i = int(np.searchsorted(at, opened + window, side="left"))
-        start[:i], count[:i] = opened, before + np.arange(1, i + 1)
-    while i < len(at):
-        stop = int(after[i])
-        start[i:stop], count[i:stop] = at[i], np.arange(1, stop - i + 1)
-        i = stop
-    allowed = count <= limit
-    left = np.floor((start + window - at) / MICROS + 0.5).astype(np.int64)
-    retry = np.where(left > 0, left, window // MICROS)
-    return pd.DataFrame(
-        {
-            "allowed": allowed,
-            "remaining": np.where(allowed, limit - count, 0).astype(np.int32),
-            "retry_after": np.where(allowed, 0, retry).astype(np.int32),
-        }
-    )
+def count_in_window(state: tuple[int, int], at: int, limit: int, window: int) -> tuple[tuple[int, int], tuple]:
+    """Decide one event; the state is (start of the window, events counted in it)."""
+    opened, count = state
+    if at >= opened + window:
+        opened, count = at, 0
+    count += 1
+    if count <= limit:
+        return (opened, count), (True, limit - count, 0)
+    left = int((opened + window - at) / MICROS + 0.5)
+    return (opened, count), (False, 0, left if left > 0 else window // MICROS)
 
 
 def throttle_fixed(
@@ -170,36 +156,75 @@ def throttle_fixed(
     chunked = timed.withColumn("chunk", F.floor(F.col("at") / chunk))
     kind = timed.schema["key"].dataType.simpleString()
 
-    def summarise(owner: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        at = np.sort(rows["at"].to_numpy())
-        out = pd.DataFrame(_summary(at, int(owner[1]) * chunk, window), columns=["opens", "ends"])
-        out.insert(0, "key", owner[0])
-        out.insert(1, "chunk", owner[1])
-        return out
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        for owner, number, at in _runs(batches):
+            out += [(opens, ends, owner, number) for opens, ends in _summary(at, number * chunk, window)]
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=["opens", "ends", "key", "chunk"])
+                out = []
+        yield pd.DataFrame(out, columns=["opens", "ends", "key", "chunk"])
 
-    def chain(rows: pd.DataFrame) -> pd.DataFrame:
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Start of the window that is open when each chunk begins, -1 for none."""
-        out, end = [], -1
-        for number, group in rows.sort_values(["chunk", "opens"]).groupby("chunk", sort=True):
-            out.append((rows["key"].iloc[0], number, end - window if end > number * chunk else -1))
-            usable = group[group["opens"] >= end]
-            if len(usable):  # else the open window covers the whole chunk
-                end = int(usable["ends"].iloc[0])
-        return pd.DataFrame(out, columns=["key", "chunk", "opened"])
-
-    summaries = chunked.groupBy("key", "chunk").applyInPandas(summarise, f"key {kind}, chunk bigint, opens bigint, ends bigint")
-    openings = summaries.groupBy("key").applyInPandas(chain, f"key {kind}, chunk bigint, opened bigint")
+        owner, number, end, moved = None, None, -1, False
+        for batch in batches:
+            out = []
+            for key_, chunk_, opens, ends in zip(batch["key"], batch["chunk"], batch["opens"], batch["ends"]):
+                if key_ != owner:
+                    owner, number, end = key_, None, -1
+                if chunk_ != number:
+                    number, moved = chunk_, False
+                    out.append((owner, number, end - window if end > number * chunk else -1))
+                if not moved and opens >= end:  # no such pair: the open window covers the whole chunk
+                    end, moved = ends, True
+            yield pd.DataFrame(out, columns=["key", "chunk", "opened"])
+
+    in_chunks = chunked.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "at", "seq")
+    summaries = in_chunks.mapInPandas(summarise, f"opens bigint, ends bigint, key {kind}, chunk bigint")
+    by_key = summaries.repartition("key").sortWithinPartitions("key", "chunk", "opens")
+    openings = by_key.mapInPandas(chain, f"key {kind}, chunk bigint, opened bigint")
     # Events of the open window that lie in the chunks before; a window spans at most two chunks.
     spans = openings.filter("opened >= 0").select("key", (F.col("chunk") - 1).alias("chunk"), "opened")
     earlier = chunked.select("key", "chunk", "at").join(spans, ["key", "chunk"]).filter("at >= opened")
     held = earlier.groupBy("key", (F.col("chunk") + 1).alias("chunk")).agg(F.count("*").alias("held"))
     carried = openings.join(held, ["key", "chunk"], "left").fillna(0, ["held"])
 
-    def decide(rows: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["at", "seq"], ignore_index=True)
-        opened, before = int(state["opened"].iloc[0]), int(state["held"].iloc[0])
-        decided = _decide_chunk(rows["at"].to_numpy(), opened, before, limit, window)
-        return pd.concat([rows[["key", "seq", "at"]], decided], axis=1)
-
-    by_chunk = chunked.groupBy("key", "chunk").cogroup(carried.groupBy("key", "chunk"))
-    return _result(by_chunk.applyInPandas(decide, _schema(timed)), key, ts, order)
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, state = None, (-window, 0)
+        for batch in batches:
+            out = []
+            columns = (batch[c] for c in ("key", "chunk", "at", "opened", "held"))
+            for owner, number, at, opened, before in zip(*columns):
+                if (owner, number) != current:
+                    current, state = (owner, number), (opened, before) if opened >= 0 else (-window, 0)
+                state, decision = count_in_window(state, at, limit, window)
+                out.append(decision)
+            yield decisions_of(batch, out)
+
+    known = chunked.join(carried, ["key", "chunk"]).repartition("key", "chunk")
+    decided = known.sortWithinPartitions("key", "chunk", "at", "seq").mapInPandas(decide, _schema(timed))
+    return _result(decided, key, ts, order)
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """(key, chunk, times) of every run of equal key and chunk in sorted batches; a run may span batches."""
+    owner, number, parts = None, None, []
+    for batch in batches:
+        keys, chunks, at = batch["key"].to_numpy(), batch["chunk"].to_numpy(), batch["at"].to_numpy()
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1])) + 1
+        for start, stop in zip([0, *cuts], [*cuts, len(at)]):
+            if start == stop:
+                continue
+            if parts and (keys[start] != owner or chunks[start] != number):
+                yield owner, number, np.concatenate(parts)
+                parts = []
+            owner, number = keys[start], int(chunks[start])
+            parts.append(at[start:stop])
+    if parts:
+        yield owner, number, np.concatenate(parts)
+
+
+def decisions_of(batch: pd.DataFrame, decisions: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(decisions, columns=["allowed", "remaining", "retry_after"], index=batch.index)
+    return pd.concat([batch[["key", "seq", "at"]], out], axis=1)

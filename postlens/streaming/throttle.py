@@ -11,18 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from postlens import fixed_values as fv
-from postlens.operators.throttle import DECISION, MICROS, slide
-
-
-def _fixed(state: tuple[int, int], at: int, limit: int, window: int) -> tuple[tuple[int, int], tuple[bool, int, int]]:
-    opened, count = state
-    if at >= opened + window:
-        opened, count = at, 0
-    count += 1
-    if count <= limit:
-        return (opened, count), (True, limit - count, 0)
-    left = int((opened + window - at) / MICROS + 0.5)
-    return (opened, count), (False, 0, left if left > 0 else window // MICROS)
+from postlens.operators.throttle import DECISION, MICROS, decisions_of, count_in_window, slide
 
 
 def throttle_stream(
@@ -53,11 +42,10 @@ def throttle_stream(
             if kind == "sliding":
                 out.append(slide(log, at, limit, window))
             else:
-                fixed, decision = _fixed(fixed, at, limit, window)
+                fixed, decision = count_in_window(fixed, at, limit, window)
                 out.append(decision)
         state.update(([int(a) for a in log], int(fixed[0]), int(fixed[1])))
-        decided = pd.DataFrame(out, columns=["allowed", "remaining", "retry_after"])
-        yield pd.concat([rows[["key", "seq", "at"]], decided], axis=1)
+        yield decisions_of(rows, out)
 
     decided = timed.groupBy("key").applyInPandasWithState(
         decide, output, "log array<bigint>, opened bigint, count bigint", "append", GroupStateTimeout.NoTimeout
