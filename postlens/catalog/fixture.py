@@ -110,9 +110,17 @@ def fact(spark, sf_dir):
     return gold.fct_jobs(unified(spark, sf_dir))
 
 
-def unified_table(spark, sf_dir):
+# Silver columns that only some reports read.
+RARELY_READ = (
+    "descriptions", "requirements", "year_of_experiences_raw", "year_of_experiences_normalized",
+    "year_of_experiences", "experiences_level", "tags", "salary", "job_title", "logo_id", "job_posted_timestamp",
+)
+
+
+def unified_table(spark, sf_dir, *also):
     """The silver table written once, for reports that read it several times (dimension, fact, totals)."""
-    return materialise(unified(spark, sf_dir).drop("descriptions", "requirements"), "int_jobs_unified")
+    unread = [c for c in RARELY_READ if c not in also]
+    return materialise(unified(spark, sf_dir).drop(*unread), "int_jobs_unified")
 
 
 # ---- the checking side: the same steps in DuckDB SQL ----------------------------------------

@@ -155,7 +155,7 @@ GROUP BY c.company_id, c.company_name, c.source_platform, c.logo_id"""
 
 @query("rpt_company_hiring_summary", with_ctes(COMPANY))
 def rpt_company(spark, sf_dir):
-    jobs = fx.unified_table(spark, sf_dir)
+    jobs = fx.unified_table(spark, sf_dir, "job_title", "logo_id", "job_posted_timestamp")
     return reports.rpt_company_hiring_summary(gold.dim_company(jobs), gold.fct_jobs(jobs))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.session import shared_dir
+from postlens.session import materialise
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position in the partition below
 
@@ -20,12 +20,11 @@ def rank_few(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 def rank_many(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Row number of a table of any size, without sorting it in one task.
 
-    The table is range-sorted and checkpointed once; the row number is the position inside a sorted partition
-    plus the size of the partitions before it. The offsets table has one row per partition.
+    The table is range-sorted and written once to the shared folder; the row number is the position inside a
+    sorted partition plus the size of the partitions before it. The offsets table has one row per partition.
     """
-    shared_dir(df.sparkSession)
     position = F.monotonically_increasing_id()
-    placed = df.orderBy(*order).withColumn("_position", position).checkpoint()
+    placed = materialise(df.orderBy(*order).withColumn("_position", position), "ranked")
     partition = F.shiftright("_position", _POSITION_BITS)
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -105,6 +105,8 @@ FACT_COLUMNS = (
 
 
 def fct_jobs(jobs: DataFrame) -> DataFrame:
+    """One row per silver row with a category; attributes that `jobs` was stripped of are left out."""
+    attributes = [c for c in FACT_COLUMNS if c in jobs.columns]
     return categorised(jobs).select(
         "job_id",
         surrogate_key("job_category").alias("job_category_id"),
@@ -113,5 +115,5 @@ def fct_jobs(jobs: DataFrame) -> DataFrame:
         surrogate_key("job_location").alias("location_id"),
         surrogate_key("education_requirement").alias("education_id"),
         surrogate_key("salary_band").alias("salary_band_id"),
-        *FACT_COLUMNS,
+        *attributes,
     )
