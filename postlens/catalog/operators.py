@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postlens import fixed_values as fv
 from postlens.catalog import fixture as fx
-from postlens.catalog.fixture import initcap_sql, with_ctes
+from postlens.catalog.fixture import with_ctes
 from postlens.catalog.registry import query, table
-from postlens.functions.text import logo_key, text_or_empty
+from postlens.functions.text import text_or_empty
 from postlens.operators import keys, merge, ranking
 from postlens.plans import reports, silver
 from postlens.session import fresh_path
