@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +28,52 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query(
+    "op1_decontaminate",
+    rf"""
+    WITH items AS (
+        SELECT CAST(item_id AS VARCHAR) AS item,
+               regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark WHERE item_id IS NOT NULL),
+    windows AS (
+        SELECT DISTINCT item, 10 AS n, array_to_string(w[p:p + 9], ' ') AS passage
+        FROM (SELECT item, w, unnest(range(1, len(w) - 8)) AS p FROM items WHERE len(w) >= 10)
+        UNION
+        SELECT DISTINCT item, len(w), array_to_string(w, ' ') FROM items WHERE len(w) BETWEEN 1 AND 9),
+    docs AS (
+        SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    places AS (
+        SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS passage
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+              FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+    hits AS (SELECT doc_id, p, n, item FROM places JOIN windows USING (n, passage)),
+    covered AS (
+        SELECT doc_id, count(DISTINCT q) AS n_hit
+        FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+    found AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
+)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, _read(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @_query(
     "op7_exact_dedup",
     r"""
