@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
+from postlens.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +91,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), carry=())
+
+
+@_query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["rank"] < len(BASE_RULES))
+    counts = [
+        F.size(F.filter("secrets", lambda s, k=rule.kind: s["kind"] == k)).cast("bigint").alias(f"n_{rule.kind}")
+        for rule in BASE_RULES
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans")
+    )
