@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
+from postlens.llm.frames import utf8
 from postlens.llm.secret_scan import BASE_RULES, scan_secrets, span_text
+from postlens.llm.suffix_lm import score_documents, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +95,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), carry=())
 
 
+@_query("op9_suffix_tree_lm")
+def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"))
+    trained = train(docs.filter("NOT held_out").select(utf8(F.col("text")).alias("text")))
+    return score_documents(docs, trained, carry=["doc_id", "held_out"])
+
+
 @_query("op10_secret_scan")
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
