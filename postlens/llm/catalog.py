@@ -11,6 +11,7 @@ from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
 from postlens.llm.frames import utf8
 from postlens.llm.secret_scan import BASE_RULES, scan_secrets, span_text
+from postlens.llm.substring_dedup import remove_repeats
 from postlens.llm.suffix_lm import score_documents, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +78,32 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    "op3_substring_dedup",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, p, md5(array_to_string(w[p:p + 34], ' ')) AS passage
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM docs WHERE len(w) >= 35)),
+    twice AS (SELECT passage FROM windows GROUP BY passage HAVING count(*) > 1),
+    gone AS (
+        SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM windows SEMI JOIN twice USING (passage)),
+    lost AS (SELECT doc_id, list(q) AS qs FROM gone GROUP BY doc_id),
+    left_over AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY q) AS kept
+        FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM docs)
+        ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(len(qs), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM docs LEFT JOIN lost USING (doc_id) LEFT JOIN left_over USING (doc_id)
+    """,
+)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = remove_repeats(docs, carry=["doc_id"], digest=True)
+    return found.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 @_query(
     "op7_exact_dedup",
     r"""
