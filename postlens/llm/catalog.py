@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
 from postlens.llm.frames import utf8
+from postlens.llm.near_dedup import near_duplicates
 from postlens.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 from postlens.llm.substring_dedup import remove_repeats
 from postlens.llm.suffix_lm import score_documents, train
@@ -104,6 +105,35 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
+@_query(
+    "op5_near_dedup",
+    rf"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, md5(array_to_string(w[p:p + 4], ' ')) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM docs WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+        FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+    both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM docs
+        UNION
+        SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+    smallest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM smallest LEFT JOIN sizes USING (doc_id)
+    """,
+)
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), carry=())
+
+
 @_query(
     "op7_exact_dedup",
     r"""
