@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
 from postlens.llm.frames import utf8
+from postlens.llm.hilbert_shards import shard_by_curve
+from postlens.llm.mixing import mix_sources, source_rates
 from postlens.llm.near_dedup import near_duplicates
 from postlens.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 from postlens.llm.substring_dedup import remove_repeats
 from postlens.llm.suffix_lm import score_documents, train
+from postlens.llm.token_shards import materialise_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,6 +108,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
+@_query("op4_hilbert_shards")
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_curve(_read(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 @_query(
     "op5_near_dedup",
     rf"""
@@ -134,6 +142,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), carry=())
 
 
+@_query("op6_token_shards")
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise_order(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query(
     "op7_exact_dedup",
     r"""
@@ -152,6 +165,32 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), carry=())
 
 
+@_query(
+    "op8_mix_sources",
+    """
+    WITH sizes AS (SELECT source, count(*) AS documents FROM documents GROUP BY source),
+    rates AS (
+        SELECT source, pow(documents, 0.7) * sum(documents) OVER () / sum(pow(documents, 0.7)) OVER () / documents AS rate
+        FROM sizes),
+    draws AS (
+        SELECT d.*, rate,
+               CAST('0x' || substr(md5('20240607|' || doc_id || '|1'), 1, 13) AS BIGINT) / pow(2, 52) AS u
+        FROM documents d JOIN rates USING (source)),
+    steps AS (
+        SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k) AS total
+        FROM (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p FROM rates, range(0, 200) r(k))),
+    counts AS (
+        SELECT doc_id, count(total) AS n FROM draws LEFT JOIN steps ON steps.source = draws.source AND total <= u
+        GROUP BY doc_id)
+    SELECT doc_id, text, lang, d.source, n_chars, unnest(range(1, n + 1)) AS replica
+    FROM documents d JOIN counts USING (doc_id)
+    """,
+)
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return mix_sources(docs, source_rates(docs)).select(*docs.columns, F.col("replica").cast("bigint").alias("replica"))
+
+
 @_query("op9_suffix_tree_lm")
 def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
