@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm.decontaminate import find_contamination
@@ -199,14 +199,15 @@ def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, trained, carry=["doc_id", "held_out"])
 
 
+def _count_of(kind: str) -> Column:
+    return F.size(F.filter("secrets", lambda s: s["kind"] == kind))
+
+
 @_query("op10_secret_scan")
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["rank"] < len(BASE_RULES))
-    counts = [
-        F.size(F.filter("secrets", lambda s, k=rule.kind: s["kind"] == k)).cast("bigint").alias(f"n_{rule.kind}")
-        for rule in BASE_RULES
-    ]
+    counts = [_count_of(rule.kind).cast("bigint").alias(f"n_{rule.kind}") for rule in BASE_RULES]
     return found.select(
         "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans")
     )
