@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlens.llm.crf_language import identify_languages, train_field, training_pieces
 from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
 from postlens.llm.frames import utf8
@@ -82,6 +83,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op2_crf_language")
+def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"))
+    field = train_field(training_pieces(docs.filter("NOT held_out"), "lang", "text"))
+    return identify_languages(docs, field, carry=["doc_id", "held_out"])
+
+
 @_query(
     "op3_substring_dedup",
     r"""

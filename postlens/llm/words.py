@@ -92,12 +92,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(column: pa.Array, lower: bool) -> Words:
-    """Words between white space ([\\x20\\x09-\\x0D]) of each text; `lower` folds A-Z first."""
+def split_words(column: pa.Array, lower: bool, separators: np.ndarray = WHITE) -> Words:
+    """Words between separators (by default white space, [\\x20\\x09-\\x0D]) of each text; `lower` folds A-Z first."""
     data, offsets = text_bytes(column)
     if lower:
         data = LOWER[data]
-    inside = ~WHITE[data]
+    inside = ~separators[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     stops = inside.copy()
