@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_pipeline import ORACLE_SQL, run
 from postlens.llm.crf_language import identify_languages, train_field, training_pieces
 from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
@@ -220,3 +221,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans")
     )
+
+
+QUERIES["pipeline"] = run
+if ORACLE_SQL is not None:
+    ORACLES["pipeline"] = ORACLE_SQL
