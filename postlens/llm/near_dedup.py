@@ -58,7 +58,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str])
     """Carried columns, _id, n, sig_a, sig_b, sketch of each document; the sketch ascends (as unsigned numbers)."""
     kept = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{id_col}`").alias("_id"))
     rows = docs.select(*kept.columns[:-1], F.col(f"`{id_col}`").alias("_id"), utf8(F.col(f"`{text_col}`")).alias("_text"))
-    schema = kept.schema.add("n", "long").add("sig_a", "long").add("sig_b", "long").add("sketch", T.ArrayType(T.LongType()))
+    schema = kept.schema.add("_n", "long").add("_sig_a", "long").add("_sig_b", "long").add("_sketch", T.ArrayType(T.LongType()))
 
     def sketch(batches):
         for batch in slices(batches, "_text"):
@@ -74,7 +74,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str])
                     pa.array([s[1] for s in signatures], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([*cut, np.zeros(0, np.int64)]), pa.int64())),
                 ],
-                names=[*carry, "_id", "n", "sig_a", "sig_b", "sketch"],
+                names=[*carry, "_id", "_n", "_sig_a", "_sig_b", "_sketch"],
             )
 
     return rows.mapInArrow(sketch, schema)
@@ -82,9 +82,9 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str])
 
 def _keys(classes: DataFrame, run: int, values: int) -> DataFrame:
     """(class, key): hashes of all runs of neighbouring values among the first ones of each sketch."""
-    places = F.sequence(F.lit(1), F.least(F.size("sketch"), F.lit(values)) - (run - 1))
-    keyed = F.transform(places, lambda i: F.xxhash64(F.slice("sketch", i, run)))
-    return classes.filter(F.size("sketch") >= run).select("class", F.explode(keyed).alias("key"))
+    places = F.sequence(F.lit(1), F.least(F.size("_sketch"), F.lit(values)) - (run - 1))
+    keyed = F.transform(places, lambda i: F.xxhash64(F.slice("_sketch", i, run)))
+    return classes.filter(F.size("_sketch") >= run).select("class", F.explode(keyed).alias("key"))
 
 
 def _pairs_of_lists(members: DataFrame) -> DataFrame:
@@ -122,8 +122,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     error = (percent / 100 * (1 - percent / 100) / ESTIMATED) ** 0.5
     least = percent / 100 - 4 * error
     # Flipping the sign bit makes signed order the order of unsigned numbers, in which the smallest were kept.
-    small = F.transform(F.slice("sketch", 1, ESTIMATED), lambda v: v.bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")))
-    side = lambda name: classes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"), small.alias(f"s_{name}"))
+    small = F.transform(F.slice("_sketch", 1, ESTIMATED), lambda v: v.bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")))
+    side = lambda name: classes.select(F.col("class").alias(name), F.col("_n").alias(f"n_{name}"), small.alias(f"s_{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     return both.filter(sizes).select("a", "b", _estimate("s_a", "s_b").alias("estimate")).filter(F.col("estimate") >= least)
@@ -131,15 +131,15 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(class, text) of the wanted classes: the text of a document with the class's smallest id and its set."""
-    known = classes.join(wanted, "class", "left_semi").select("class", F.col("id").alias("_id"), "sig_a", "sig_b")
+    known = classes.join(wanted, "class", "left_semi").select("class", F.col("id").alias("_id"), "_sig_a", "_sig_b")
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), utf8(F.col(f"`{text_col}`")).alias("text"))
-    found = rows.join(known, rows["_id"].eqNullSafe(known["_id"])).select("class", "sig_a", "sig_b", "text")
+    found = rows.join(known, rows["_id"].eqNullSafe(known["_id"])).select("class", "_sig_a", "_sig_b", "text")
 
     def same(batches):
         for batch in slices(batches, "text"):
             sets = shingle_sets(split_words(batch["text"], lower=True))
             own = [_signature(s) for s in sets]
-            keep = [o == s for o, s in zip(own, zip(batch["sig_a"].to_pylist(), batch["sig_b"].to_pylist()))]
+            keep = [o == s for o, s in zip(own, zip(batch["_sig_a"].to_pylist(), batch["_sig_b"].to_pylist()))]
             yield batch.select(["class", "text"]).filter(pa.array(keep, pa.bool_()))
 
     return found.mapInArrow(same, "class long, text binary").groupBy("class").agg(F.first("text").alias("text"))
@@ -196,8 +196,8 @@ def near_duplicates(
     """
     names = [c for c in without(docs, RESULT).columns if carry is None or c in (*carry, id_col)]
     sketched = materialise(sketches(docs, id_col, text_col, names), "sketches")
-    own = ["n", "sig_a", "sig_b"]
-    classes = sketched.filter("n > 0").groupBy(*own).agg(F.min("_id").alias("id"), F.first("sketch").alias("sketch"))
+    own = ["_n", "_sig_a", "_sig_b"]
+    classes = sketched.filter("_n > 0").groupBy(*own).agg(F.min("_id").alias("id"), F.first("_sketch").alias("_sketch"))
     classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     pairs = materialise(estimated(overlaps(classes), classes, percent), "overlaps")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
@@ -216,10 +216,10 @@ def near_duplicates(
     )
     of_component = smallest.groupBy("component").agg(F.min("id").alias("component_id"))
     labels = materialise(smallest.join(of_component, "component").select(*own, "component_id"), "labels")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id"))
+    component = F.when(F.col("_n") > 0, F.col("component_id")).otherwise(F.col("_id"))
     return sketched.join(labels, own, "left").select(
         *[F.col(f"`{c}`") for c in names],
-        F.col("n").alias("n_shingles"),
+        F.col("_n").alias("n_shingles"),
         component.alias("component_id"),
         component.eqNullSafe(F.col("_id")).alias("kept"),
     )
