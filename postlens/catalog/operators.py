@@ -390,7 +390,7 @@ def logo_left_join(spark, sf_dir):
 
     jobs = fx.postings(spark, sf_dir).select("url", "logo_url")
     known = fx.logos(spark, sf_dir).select("logo_url", "logo_id")
-    return lookup_join(jobs, known, "logo_url", F.col("url")).select("url", "logo_id")
+    return lookup_join(jobs, known, "logo_url").select("url", "logo_id")
 
 
 @query(

@@ -83,10 +83,22 @@ def embed_new_rows(spark, sf_dir):
     return rows.select("job_id", "doc_id")
 
 
-@query("embed_documents")
+# Hashed terms of a text in SQL: (id, place, weight) of the places that are not empty.
+TERMS = """SELECT {id} AS id, place, n / sqrt(sum(n * n) OVER (PARTITION BY {id})) AS weight FROM (
+  SELECT {id}, (('0x' || right(md5(word), 7))::BIGINT % 256)::INTEGER AS place, count(*)::DOUBLE AS n
+  FROM (SELECT {id}, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}_]+')) AS word FROM {table}) GROUP BY ALL)"""
+
+
+@query(
+    "embed_documents",
+    "SELECT id AS doc_id, place, round(weight::FLOAT::DOUBLE, 6) AS weight FROM ("
+    + TERMS.format(id="doc_id", text="text", table="documents")
+    + ")",
+)
 def embed_documents(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents", spread=("doc_id",))
-    return embed_text(documents.select("doc_id", "text"), "text").drop("text")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    places = embed_text(documents, "text").select("doc_id", F.posexplode("embedding").alias("place", "weight"))
+    return places.filter("weight > 0").withColumn("weight", F.round(F.col("weight").cast("double"), 6))
 
 
 # ---- nearest neighbours and retrieval ------------------------------------------------------
@@ -95,9 +107,10 @@ def embed_documents(spark, sf_dir):
 @query(
     "cosine_topk",
     """SELECT query_id, item_id, distance, rank::INTEGER AS rank FROM (
-         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, item_id) AS rank FROM (
+         SELECT query_id, item_id, abs(round(whole, 6)) AS distance,
+           row_number() OVER (PARTITION BY query_id ORDER BY whole, item_id) AS rank FROM (
            SELECT q.vec_id AS query_id, i.vec_id AS item_id,
-             abs(round(1 - list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 6)) AS distance
+             1 - list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]) AS whole
            FROM embeddings q CROSS JOIN embeddings i)) WHERE rank <= 5""",
 )
 def nearest(spark, sf_dir):
@@ -188,7 +201,7 @@ def recent_turns(spark, sf_dir):
 NUMBERED = f"""SELECT * FROM (SELECT lang AS query_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS position,
   r.* FROM documents d JOIN ({RESULT_SQL}) r ON r.job_id = d.doc_id::VARCHAR) WHERE position <= 10"""
 BLOCK = """concat('[', position, '] ', title, '\nCompany: ', company, '\nSource: \nLocation: ', locations,
-  '\nCategory: \nExperience:  / \nWork:  / \nSalary: ', salary, ' ()\nPosted: \nURL: ', url, '\nContent: ', document[1:1200])""".replace(
+  '\nCategory: \nExperience:  / \nWork:  / \nSalary: ', salary, ' ()\nPosted: \nURL: ', url, '\nContent: ', document)""".replace(
     "'\\n", "E'\\n"
 )
 CONTEXT = f"SELECT query_id, string_agg({BLOCK}, chr(10) || chr(10) ORDER BY position) AS context FROM ({NUMBERED}) GROUP BY query_id"

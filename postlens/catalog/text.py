@@ -9,6 +9,7 @@ from postlens.catalog import fixture as fx
 from postlens.catalog.fixture import initcap_sql, key_sql, with_ctes
 from postlens.catalog.registry import query, table
 from postlens.functions import experience, labels, requests, salary, text
+from postlens.operators import chunks
 from postlens.plans import alerts, retrieval
 
 
@@ -226,11 +227,31 @@ def alert_records(spark, sf_dir):
     return alerts.alert_records(alerts.pending_jobs(fx.staging_b(spark, sf_dir)))
 
 
-@query("chunk_text")
+@query(
+    "chunk_text",
+    r"""
+    WITH RECURSIVE lines AS (
+        SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
+        FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '\n$', ''), '\n') AS l
+              FROM documents WHERE length(text) > 1900)),
+    pieces AS (
+        SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, beg) AS n, substr(line, beg, 1900) AS piece
+        FROM (SELECT doc_id, i, line, unnest(range(1, greatest(length(line), 1) + 1, 1900)) AS beg FROM lines)),
+    packed AS (
+        SELECT doc_id, n, 0 AS part, piece AS open FROM pieces WHERE n = 1
+        UNION ALL
+        SELECT p.doc_id, p.n,
+               CASE WHEN k.open = '' OR length(k.open) + 1 + length(p.piece) <= 1900 THEN k.part ELSE k.part + 1 END,
+               CASE WHEN k.open <> '' AND length(k.open) + 1 + length(p.piece) <= 1900
+                    THEN k.open || chr(10) || p.piece ELSE p.piece END
+        FROM packed k JOIN pieces p ON p.doc_id = k.doc_id AND p.n = k.n + 1)
+    SELECT doc_id, part, arg_max(open, n) AS chunk FROM packed WHERE open <> '' GROUP BY doc_id, part
+    UNION ALL
+    SELECT doc_id, 0, text FROM documents WHERE length(text) <= 1900
+    """,
+)
 def chunk_text(spark, sf_dir):
-    from postlens.operators.chunks import chunk_text as cut
-
-    return cut(table(spark, sf_dir, "documents", spread=("doc_id",)).select("doc_id", "text"), "text")
+    return chunks.chunk_text(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
 
 @query(

@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 GROUP_SIZE = 16  # patterns tested together first; measured best between 8 and 21
 
+#: What keeps its meaning only on its own: references to groups, named groups, quoting, comments.
+_STANDS_ALONE = re.compile(r"\\[1-9kQE]|\(\?(?!:|=|!|<=|<!|>|[idmsuU]+[:)])")
+
 
 def regex_lookup(df: DataFrame, text: Column, rows: Iterable[Sequence[str]], names: Sequence[str]) -> DataFrame:
     """Left join `text rlike pattern`: one output row per matching pattern, one with NULLs when none matches.
 
     `rows` are (pattern, value...) with values named `names`. The patterns become literals of one projection,
-    so nothing is shuffled or broadcast and each pattern is compiled once per task. Long lists are tested in
-    groups first (any of the group's patterns), then one by one inside the groups that matched.
+    so nothing is shuffled or broadcast and each pattern is compiled once per task. Patterns that mean the same inside
+    a larger one are tested in groups first (any of the group's patterns), then one by one inside the groups that
+    matched; all others (with references, named groups, quoting or comments) are tested one by one at once.
     """
     rows = list(rows)
-    groups = [rows[i : i + GROUP_SIZE] for i in range(0, len(rows), GROUP_SIZE)]
-    hits = [_hits(group, names) for group in groups]
-    if len(groups) > 1:
-        anyof = [_quoted("|".join(f"(?:{pattern})" for pattern, *_ in group)) for group in groups]
-        hits = [f"CASE WHEN _text RLIKE {a} THEN {h} END" for a, h in zip(anyof, hits)]
+    alone = [row for row in rows if _STANDS_ALONE.search(row[0])]
+    plain = [row for row in rows if not _STANDS_ALONE.search(row[0])]
+    hits = [_hits(alone, names)] if alone else []
+    for at in range(0, len(plain), GROUP_SIZE):
+        group = plain[at : at + GROUP_SIZE]
+        anyof = _quoted("|".join(f"(?:{pattern})" for pattern, *_ in group))
+        hits.append(f"CASE WHEN _text RLIKE {anyof} THEN {_hits(group, names)} END")
     found = F.explode_outer(F.expr(f"flatten(array_compact(array({', '.join(hits)})))")).alias("_hit")
     matched = df.withColumn("_text", text).select(*df.columns, found)
     return matched.select(*df.columns, *[F.col("_hit")[n].alias(n) for n in names])
@@ -42,20 +48,28 @@ def _quoted(value: str) -> str:
     return f"'{escaped}'"
 
 
-def read_patterns(table: DataFrame, pattern: str, names: Sequence[str], max_rows: int = 10_000) -> list[tuple]:
-    """Rows of a small pattern table as literals for `regex_lookup`; refuses a table that is not small."""
-    rows = table.select(pattern, *names).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"a pattern table may hold {max_rows} rows at most")
-    return [tuple(r) for r in rows]
+def pattern_join(
+    df: DataFrame, text: Column, patterns: DataFrame, pattern: str, names: Sequence[str], literals: int = 2000
+) -> DataFrame:
+    """`regex_lookup` against a table of patterns; a NULL pattern matches nothing.
+
+    Up to `literals` patterns become literals of the plan; a longer table is joined. The rows are the same.
+    """
+    wanted = patterns.select(F.col(pattern).alias("_pattern"), *names).filter("_pattern IS NOT NULL")
+    rows = wanted.limit(literals + 1).collect()
+    if rows and len(rows) <= literals:
+        return regex_lookup(df, text, [tuple(r) for r in rows], names)
+    return df.withColumn("_text", text).join(wanted, F.expr("_text RLIKE _pattern"), "left").drop("_text", "_pattern")
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, key: str, spread_by: Column, salts: int = 16) -> DataFrame:
-    """Left join to a lookup with unique keys, with a hot (or NULL) key of `df` spread over `salts` tasks.
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Left join to a lookup with unique keys.
 
-    Spark broadcasts the lookup while its measured size is below `spark.sql.autoBroadcastJoinThreshold`;
-    beyond that both sides shuffle by (key, salt) and the small side is repeated once per salt.
+    Rows without a key match nothing and take no part in the join, so they meet in no task. Spark broadcasts the
+    lookup while its measured size is below `spark.sql.autoBroadcastJoinThreshold`; beyond that adaptive execution
+    splits the partitions of hot keys.
     """
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, "_salt"], "left").drop("_salt")
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema.fields if f.name != key]
+    joined = df.filter(F.col(key).isNotNull()).join(lookup, key, "left")
+    keyless = df.filter(F.col(key).isNull()).select(*df.columns, *others)
+    return joined.select(*keyless.columns).unionByName(keyless)

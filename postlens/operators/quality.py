@@ -20,18 +20,18 @@ class Check:
     kind: str
     column: str = ""
     pattern: str = ""
-    low: int = fv.BATCH_ROWS[0]
-    high: int = fv.BATCH_ROWS[1]
+    low: int = 1
+    high: int | None = None
 
 
 class QualityError(ValueError):
     """Raised by `require` when a check failed."""
 
 
-def batch_checks(url_pattern: str, *required: str) -> list[Check]:
+def batch_checks(url_pattern: str, *required: str, low: int = 1, high: int | None = None) -> list[Check]:
     """Checks of one crawled batch: its size, its urls and the columns it must fill."""
     return [
-        Check("row_count"),
+        Check("row_count", low=low, high=high),
         Check("not_null", "url"),
         Check("unique", "url"),
         *[Check("not_null", c) for c in required],
@@ -55,13 +55,16 @@ def _row_failure(check: Check) -> Column:
     return ~F.col(check.column).rlike(check.pattern)  # NULL, hence no failure, for a NULL value
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def _within(rows: Column, check: Check) -> Column:
+    return rows >= check.low if check.high is None else rows.between(check.low, check.high)
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check], samples: int = fv.SAMPLE_VALUES) -> DataFrame:
     """One row per check: (check, column, failed, sample).
 
-    All row-level checks share one scan and one aggregate; a uniqueness check groups by its key. At most
-    `SAMPLE_VALUES` values per check are kept, cut in every map task before the shuffle.
+    All row-level checks share one scan and one aggregate; a uniqueness check groups by its key once, for its count
+    and its sample. At most `samples` values per check are kept, cut in every map task before the shuffle.
     """
-    spark = df.sparkSession
     results = []
     rows = [c for c in checks if c.kind in ("not_null", "matches")]
     sizes = [c for c in checks if c.kind == "row_count"]
@@ -75,41 +78,44 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             F.struct(
                 F.lit(c.kind).alias("check"),
                 F.lit(c.column).alias("column"),
-                F.when(F.col("_rows").between(c.low, c.high), 0).otherwise(1).cast("bigint").alias("failed"),
+                (~_within(F.col("_rows"), c)).cast("bigint").alias("failed"),
             )
             for c in sizes
         ]
         results.append(totals.select(F.inline(F.array(*cells))))
-    for check in (c for c in checks if c.kind == "unique"):
-        repeated = repeated_keys(df, [check.column]).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failed"))
-        results.append(repeated.select(F.lit("unique").alias("check"), F.lit(check.column).alias("column"), "failed"))
-    counted = reduce(DataFrame.unionByName, results)
-    samples = _samples(df, checks)
-    if samples is None:
-        return counted.withColumn("sample", F.array().cast("array<string>"))
-    joined = counted.join(samples, ["check", "column"], "left")
-    return joined.withColumn("sample", F.coalesce("sample", F.array().cast("array<string>")))
-
-
-def _samples(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
-    parts = []
-    matches = [c for c in checks if c.kind == "matches"]
-    if matches:
-        hits = [
-            F.when(
-                _row_failure(c),
-                F.struct(F.lit(c.kind).alias("check"), F.lit(c.column).alias("column"), F.col(c.column).alias("value")),
-            )
-            for c in matches
-        ]
-        parts.append(df.select(F.inline(F.array_compact(F.array(*hits)))))
-    for check in (c for c in checks if c.kind == "unique"):
-        values = repeated_keys(df, [check.column]).select(F.col(check.column).cast("string").alias("value"))
-        parts.append(values.select(F.lit("unique").alias("check"), F.lit(check.column).alias("column"), "value"))
-    if not parts:
+    none = F.array().cast("array<string>")
+    sampled = _samples(df, [c for c in checks if c.kind == "matches"], samples)
+    counted = reduce(DataFrame.unionByName, results) if results else None
+    if counted is not None and sampled is not None:
+        counted = counted.join(sampled, ["check", "column"], "left").withColumn("sample", F.coalesce("sample", none))
+    elif counted is not None:
+        counted = counted.withColumn("sample", none)
+    unique = [_repeated(df, c.column, samples) for c in checks if c.kind == "unique"]
+    return reduce(DataFrame.unionByName, [*([counted] if counted is not None else []), *unique])
+
+
+def _repeated(df: DataFrame, column: str, samples: int) -> DataFrame:
+    """A uniqueness check: the rows with a repeated key and the first such keys, both from one exchange of the keys."""
+    repeated = repeated_keys(df, [column]).select(F.col(column).cast("string").alias("value"), "rows")
+    first = repeated.orderBy("value").limit(samples).select(F.lit(0).cast("bigint").alias("rows"), "value")
+    both = repeated.agg(F.sum("rows").alias("rows")).select("rows", F.lit(None).cast("string").alias("value")).union(first)
+    return both.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("failed"), F.sort_array(F.collect_list("value")).alias("sample")
+    ).select(F.lit("unique").alias("check"), F.lit(column).alias("column"), "failed", "sample")
+
+
+def _samples(df: DataFrame, matches: Sequence[Check], samples: int) -> DataFrame | None:
+    if not matches:
         return None
-    failing = reduce(DataFrame.unionByName, parts)
-    few = top_per_key(failing, ["check", "column"], [F.col("value").asc()], fv.SAMPLE_VALUES)
+    hits = [
+        F.when(
+            _row_failure(c),
+            F.struct(F.lit(c.kind).alias("check"), F.lit(c.column).alias("column"), F.col(c.column).alias("value")),
+        )
+        for c in matches
+    ]
+    failing = df.select(F.inline(F.array_compact(F.array(*hits))))
+    few = top_per_key(failing, ["check", "column"], [F.col("value").asc()], samples)
     return few.groupBy("check", "column").agg(F.sort_array(F.collect_list("value")).alias("sample"))
 
 

@@ -100,7 +100,7 @@ def int_jobs_unified(
 ) -> DataFrame:
     """All postings, enriched. The logo join runs before the fan-out over places: fewer rows to shuffle."""
     jobs = board_a.unionByName(board_b).filter(F.col("working_location").isNotNull())
-    jobs = lookup_join(jobs, logos.select("logo_url", "logo_id"), "logo_url", F.col("url"))
+    jobs = lookup_join(jobs, logos.select("logo_url", "logo_id"), "logo_url")
     jobs = with_city(split_locations(jobs), patterns=cities)
     jobs = jobs.withColumn("_average", salary_value("salary_min_million", "salary_max_million"))
     jobs = jobs.withColumn("_years", years_normalized("year_of_experiences"))

@@ -41,18 +41,35 @@ def test_city_patterns_keep_their_quirks(spark):
     assert got == [("bà rịa", None), ("hcm", "Ho Chi Minh City"), ("hà nội", "Ha Noi"), ("vũng tàu", None)]
 
 
+def test_regex_lookup_of_patterns_that_stand_alone(spark):
+    """References, named groups, quoting and comments keep their meaning in a long list."""
+    patterns = [f"(w{i:02d})x" for i in range(20)] + [r"(z)\1", r"(?<n>q)\k<n>", r"\Qa(b", "(?x) c d # note", "(?i)ABC", "(?:e|f)g"]
+    texts = ["zz", "z", "qq", "q", "a(b", "cd", "xabcx", "fg", "w03x zz", "w19x", "nothing", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = lookups.regex_lookup(df, F.col("s"), [(p, p) for p in patterns], ["hit"])
+    single = df
+    for p in patterns:
+        single = single.withColumn(p.replace("`", ""), F.col("s").rlike(p))
+    expected = []
+    for r in single.collect():
+        hits = [p for p, ok in zip(patterns, list(r)[1:]) if ok]
+        expected += [(r["s"], p) for p in hits] or [(r["s"], None)]
+    assert sorted(rows(got), key=str) == sorted(expected, key=str)
+
+
 def test_lookup_join_with_a_hot_and_a_null_key(spark):
     left = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise("x").alias("k"))
     right = spark.createDataFrame([("hot", 1), ("y", 2)], "k string, v int")
-    got = lookups.lookup_join(left, right, "k", F.col("id"))
+    got = lookups.lookup_join(left, right, "k")
     assert got.count() == 1000 and got.filter("v = 1").count() == 333
 
 
-def test_pattern_table_must_be_small(spark):
-    table = spark.createDataFrame([("a", "A"), ("b", "B")], "pattern string, v string")
-    assert sorted(lookups.read_patterns(table, "pattern", ["v"])) == [("a", "A"), ("b", "B")]
-    with pytest.raises(ValueError):
-        lookups.read_patterns(table, "pattern", ["v"], max_rows=1)
+@pytest.mark.parametrize("literals", [1, 100])
+def test_pattern_join_by_literals_and_by_join(spark, literals):
+    table = spark.createDataFrame([("a", "A"), ("b", "B"), ("^c", "C"), (None, "D")], "pattern string, v string")
+    df = spark.createDataFrame([("ab",), ("cc",), ("x",), (None,)], "s string")
+    got = lookups.pattern_join(df, F.col("s"), table, "pattern", ["v"], literals)
+    assert sorted(rows(got), key=str) == sorted([("ab", "A"), ("ab", "B"), ("cc", "C"), ("x", None), (None, None)], key=str)
 
 
 def test_dedupe_first_drops_empty_keys(spark):
@@ -160,9 +177,13 @@ def test_quality_valid_and_invalid_batches(spark):
 
 def test_quality_samples_are_bounded(spark):
     many = spark.range(600).select(F.concat(F.lit("ftp://"), "id").alias("url"))
-    got = {r["check"]: r for r in quality.run_checks(many, [quality.Check("row_count"), quality.Check("matches", "url", "^https")]).collect()}
+    got = {r["check"]: r for r in quality.run_checks(many, [quality.Check("row_count", high=500), quality.Check("matches", "url", "^https")]).collect()}
     assert got["row_count"]["failed"] == 1 and got["matches"]["failed"] == 600
     assert len(got["matches"]["sample"]) == fv.SAMPLE_VALUES
+    unlimited = quality.run_checks(many, [quality.Check("row_count"), quality.Check("unique", "url")], samples=3).collect()
+    assert [(r["failed"], r["sample"]) for r in unlimited] == [(0, []), (0, [])]
+    twice = quality.run_checks(many.union(many), [quality.Check("unique", "url")], samples=3).first()
+    assert (twice["failed"], twice["sample"]) == (1200, ["ftp://0", "ftp://1", "ftp://10"])
 
 
 def test_model_checks_are_complete():
@@ -247,11 +268,21 @@ def test_cosine_topk_matches_brute_force(spark, block):
     frame = lambda m, name: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], f"{name} bigint, embedding array<float>")
     got = vectors.cosine_topk(frame(asks, "query_id"), frame(items, "item_id"), 4, block_rows=block)
     unit = lambda m: (f := m.astype(np.float32).astype(float)) / np.linalg.norm(f, axis=1, keepdims=True)
-    d = np.abs(np.round(1 - unit(asks) @ unit(items).T, 6))
-    expected = [(q, i, d[q, i]) for q in range(15) for i in sorted(range(40), key=lambda i: (d[q, i], i))[:4]]
+    d = 1 - unit(asks) @ unit(items).T
+    expected = [(q, i, round(d[q, i], 6)) for q in range(15) for i in sorted(range(40), key=lambda i: (round(d[q, i], 12), i))[:4]]
     assert rows(got.select("query_id", "item_id", "distance"), "query_id", "rank") == expected
 
 
+def test_neighbours_are_ranked_by_the_whole_distance(spark):
+    items = [(1, [1.0, 2e-4]), (2, [1.0, 1e-4]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, [1.0]), (7, [1.0, None])]
+    items = spark.createDataFrame(items, "item_id bigint, embedding array<double>")
+    ask = spark.createDataFrame([(9, [1.0, 0.0]), (8, None)], "query_id bigint, embedding array<double>")
+    got = vectors.cosine_topk(ask, items, 3)
+    assert rows(got.select("query_id", "item_id"), "rank") == [(9, 3), (9, 2), (9, 1)]
+    reasons = {r["item_id"]: r["reason"] for r in vectors.rejected_vectors(items, 2).collect()}
+    assert reasons == {5: "no vector", 6: "another length", 7: "empty element"}
+
+
 def test_embedder_is_pluggable(spark):
     import pandas as pd
 
@@ -264,13 +295,19 @@ def test_embedder_is_pluggable(spark):
     assert all(len(r["embedding"]) == 256 for r in vectors.embed_text(df, "t").collect())
 
 
+def parts_of(spark, text, limit):
+    df = spark.createDataFrame([(text,)], "t string")
+    return [r["chunk"] for r in chunks.chunk_text(df, "t", limit).orderBy("part").collect()]
+
+
 def test_chunks(spark):
-    parts = chunks.split_message("a" * 2500, 1000)
-    assert [len(p) for p in parts] == [1000, 1000, 500]
+    assert [len(p) for p in parts_of(spark, "a" * 2500, 1000)] == [1000, 1000, 500]
     text = "\n".join("x" * n for n in (5, 4, 12, 3, 3))
-    assert chunks.split_message(text, 10) == ["xxxxx\nxxxx", "x" * 10, "xx\nxxx\nxxx"]
-    df = spark.createDataFrame([(1, text), (2, "s"), (3, None)], "i int, t string")
-    assert rows(chunks.chunk_text(df, "t", 10).filter("i > 1")) == [(2, 0, "s")]
+    assert parts_of(spark, text, 10) == ["xxxxx\nxxxx", "x" * 10, "xx\nxxx\nxxx"]
+    df = spark.createDataFrame([(1, text), (2, "s"), (3, None), (4, ""), (5, "\n" * 30)], "i int, t string")
+    got = rows(chunks.chunk_text(df, "t", 10).filter("i > 1"), "i")
+    assert got == [(2, 0, "s"), (3, None, None), (4, 0, ""), (5, None, None)]
+    assert parts_of(spark, "\n\nab\r\ncd\x0b" + "é" * 9 + "\n", 8) == ["ab\ncd", "é" * 8, "é"]
 
 
 # ---- pages ---------------------------------------------------------------------------------
