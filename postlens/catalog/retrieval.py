@@ -28,7 +28,7 @@ WHERE trim(coalesce(job_title, '') || coalesce(company_name, '') || coalesce(des
 
 
 def _vector_db(spark, sf_dir, existing=None):
-    jobs = fx.unified(spark, sf_dir)
+    jobs = fx.unified_table(spark, sf_dir, *fx.RARELY_READ)
     return embedding.vector_db(gold.fct_jobs(jobs), jobs, existing)
 
 

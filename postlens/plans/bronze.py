@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.text import initcap_trim, lower_trim, strip, strip_commas, upper_trim
-from postlens.operators.merge import merge_by_key, newer_than
+from postlens.operators.merge import merge_by_key, newer_than, one_per_key
 
 
 def stg_board_a_jobs(staging: DataFrame) -> DataFrame:
@@ -48,6 +48,10 @@ def stg_board_b_jobs(staging: DataFrame) -> DataFrame:
 
 
 def merge_bronze(model, staging: DataFrame, existing: DataFrame | None, inclusive: bool = False) -> DataFrame:
-    """Next state of a bronze table: rows newer than its mark replace or join what it holds."""
+    """Next state of a bronze table: rows newer than its mark replace or join what it holds.
+
+    Urls that become equal when they are trimmed are one posting, its newest record.
+    """
     changes = model(newer_than(staging, existing, "created_at", inclusive))
-    return changes if existing is None else merge_by_key(existing, changes, ["url"])
+    newest = [F.col("created_at").desc(), F.col("source_job_id").desc()]
+    return one_per_key(changes, ["url"], newest) if existing is None else merge_by_key(existing, changes, ["url"], newest)

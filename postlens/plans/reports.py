@@ -36,9 +36,27 @@ def joined_values(column: str) -> Column:
     return F.nullif(F.array_join(F.sort_array(F.collect_set(column)), ", "), F.lit(""))
 
 
-def per_member(dim: DataFrame, fact: DataFrame, key: str, *measures: Column, counts: tuple[str, ...]) -> DataFrame:
-    """Dimension members with their measures; counts are 0 for a member without postings."""
-    return dim.join(fact.groupBy(key).agg(*measures), key, "left").fillna(0, subset=list(counts))
+def values_per_key(fact: DataFrame, key: str, column: str, name: str) -> DataFrame:
+    """(key, name): the joined values of every key, from its distinct pairs.
+
+    Kept apart from distinct counts: beside those, collecting a set would make Spark sort the expanded rows.
+    """
+    pairs = fact.select(key, column).dropna().distinct()
+    return pairs.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list(column)), ", ").alias(name))
+
+
+def per_member(
+    dim: DataFrame, fact: DataFrame, key: str, *measures: Column, counts: tuple[str, ...], values: dict[str, str] | None = None
+) -> DataFrame:
+    """Dimension members with their measures; counts are 0 for a member without postings.
+
+    `values` names result columns that list the distinct values of a column.
+    """
+    rows = dim.join(fact.groupBy(key).agg(*measures), key, "left").fillna(0, subset=list(counts))
+    for name, column in (values or {}).items():
+        rows = rows.join(values_per_key(fact, key, column, name), key, "left")
+        rows = rows.withColumn(name, F.nullif(F.col(name), F.lit("")))
+    return rows
 
 
 def rpt_company_hiring_summary(dim_company: DataFrame, fact: DataFrame) -> DataFrame:
@@ -54,8 +72,8 @@ def rpt_company_hiring_summary(dim_company: DataFrame, fact: DataFrame) -> DataF
         F.max("job_posted_date").alias("last_posting_date"),
         mean().alias("avg_salary_offered"),
         distinct("job_title").alias("unique_job_titles"),
-        joined_values("work_model_normalized").alias("work_models_offered"),
         counts=counts,
+        values={"work_models_offered": "work_model_normalized"},
     )
     days = F.date_diff("last_posting_date", "first_posting_date") + 1
     ranked = rank_many(rows, [F.col("total_job_postings").desc(), F.col("company_id").asc()], "company_rank")
@@ -99,8 +117,8 @@ def rpt_education_distribution(dim_education: DataFrame, fact: DataFrame) -> Dat
         distinct("company_id").alias("num_companies"),
         distinct("location_id").alias("num_locations"),
         F.avg("salary_avg_million").alias("_mean"),
-        joined_values("source_platform").alias("source_platforms"),
         counts=("job_count", "num_companies", "num_locations"),
+        values={"source_platforms": "source_platform"},
     )
     total = fact.agg(F.count("*")).scalar()
     everyone = Window.partitionBy()  # five levels at most
@@ -179,8 +197,8 @@ def rpt_location_salary_analysis(dim_location: DataFrame, fact: DataFrame) -> Da
         distinct("url", HYBRID).alias("hybrid_jobs"),
         distinct("url", ON_SITE).alias("onsite_jobs"),
         distinct("url", FULL_TIME).alias("fulltime_jobs"),
-        joined_values("education_requirement").alias("education_requirements"),
         counts=counts,
+        values={"education_requirements": "education_requirement"},
     )
     total = fact.agg(F.count_distinct("url")).scalar()
     rows = rank_few(rows, [F.col("_mean").desc_nulls_last(), F.col("location_id").asc()], "salary_rank")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -23,6 +24,17 @@ def read_version(spark: SparkSession, base: str, version: int) -> DataFrame | No
         return None
 
 
+def latest_version(spark: SparkSession, base: str) -> int:
+    """Number of the newest version that is stored, 0 when there is none."""
+    try:
+        files = spark.read.parquet(base).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0
+    return max((int(m[1]) for f in files if (m := re.search(r"/version=(\d+)/", f))), default=0)
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -32,19 +44,16 @@ def ingest_stream(
     merge: Callable[[DataFrame | None, DataFrame], DataFrame],
     files_per_batch: int = 1000,
 ) -> int:
-    """Process every landed file not seen yet, then return the number of the latest table version.
+    """Process every landed file not seen yet, then return the number of the latest table version (also when nothing was new).
 
     Micro-batch `n` reads version `n`, merges and writes version `n + 1`; version 0 is the state before the first
     batch, if any. A repeated batch reads the same input version and replaces its own output, so a batch that is
     retried after a failure changes nothing. On a table format with MERGE, `merge` becomes that statement.
     """
-    latest = 0
 
     def write(batch: DataFrame, number: int) -> None:
-        nonlocal latest
         merged = merge(read_version(spark, base, number), batch)
         merged.write.mode("overwrite").parquet(version_path(base, number + 1))
-        latest = number + 1
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
     query = (
@@ -54,4 +63,4 @@ def ingest_stream(
         .start()
     )
     query.awaitTermination()
-    return latest
+    return latest_version(spark, base)

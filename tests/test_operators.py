@@ -101,6 +101,34 @@ def test_upsert_is_idempotent_and_keeps_untouched_columns(spark):
     assert rows(merge.upsert_latest(once, batch, "k", "seq", ["v"], {"made": F.lit("new")}), "k") == rows(once, "k")
 
 
+def test_upsert_reads_target_and_changes_once(spark, tmp_path):
+    spark.createDataFrame([("a", 1), (None, 2)], "k string, v int").write.parquet(str(tmp_path / "target"))
+    spark.createDataFrame([("a", 5, 1), (None, 6, 1), ("b", 7, 1)], "k string, v int, seq int").write.parquet(str(tmp_path / "changes"))
+    target, changes = spark.read.parquet(str(tmp_path / "target")), spark.read.parquet(str(tmp_path / "changes"))
+    merged = merge.upsert_latest(target, changes, "k", "seq", ["v"])
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    assert sorted(rows(merged), key=str) == [("a", 5), ("b", 7), (None, 2)]
+    assert rows(merge.without_key(changes, ["k"])) == [(None, 6, 1)]
+
+
+def test_merges_write_one_row_per_key(spark):
+    target = spark.createDataFrame([("a", 1), (None, 0)], "k string, v int")
+    changes = spark.createDataFrame([("a", 3), ("a", 4), ("b", 8), ("b", 7), (None, 9)], "k string, v int")
+    replaced = merge.merge_by_key(target, changes, ["k"], [F.col("v").desc()])
+    assert sorted(rows(replaced), key=str) == [("a", 4), ("b", 8), (None, 0)]
+    assert rows(merge.insert_absent(target, changes, ["k"])) == [("b", 7)]
+    again = target.unionByName(merge.insert_absent(target, changes, ["k"]))
+    assert rows(merge.insert_absent(again, changes, ["k"])) == []
+
+
+def test_ties_are_broken_the_same_way(spark):
+    made = [("a", 1, "x"), ("a", 1, "w"), ("a", 0, "z")]
+    df = spark.createDataFrame(made, "k string, o int, v string")
+    for copy in (df, df.orderBy("v"), df.orderBy(F.col("v").desc())):
+        assert rows(keys.dedupe_last(copy, "k", "o")) == [("a", 1, "w")]
+
+
 def test_high_water_mark(spark):
     t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
     source = spark.createDataFrame([(x,) for x in t], "created_at timestamp")

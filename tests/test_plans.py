@@ -134,11 +134,12 @@ def test_prompts(spark):
     assert "No retrieved jobs." in prompts["q2"] and "No prior messages." in prompts["q2"] and "any?" in prompts["q2"]
 
 
-def test_context_cuts_the_document(spark):
+def test_context_cuts_the_document_when_asked(spark):
     df = spark.createDataFrame([("q", 1, "x" * 2000)], "query_id string, position int, document string")
     df = df.withColumns({f: F.lit("") for f in fv.RESULT_FIELDS})
-    context = retrieval.build_context(df).first()["context"]
+    context = retrieval.build_context(df, fv.CONTEXT_DOCUMENT_CHARS).first()["context"]
     assert context.startswith("[1] Untitled job\nCompany: ") and context.endswith("Content: " + "x" * 1200)
+    assert retrieval.build_context(df).first()["context"].endswith("Content: " + "x" * 2000)
 
 
 def test_result_lines_and_alerts(spark):
@@ -184,3 +185,4 @@ def test_ingest_stream_picks_up_new_files_only(spark, tmp_path):
     two = ingest_stream(spark, landing, kind, base, checkpoint, apply)
     assert (one, two) == (1, 2) and seen == [2, 1]
     assert rows(read_version(spark, base, two), "url") == [("a", 1), ("b", 2)]
+    assert ingest_stream(spark, landing, kind, base, checkpoint, apply) == two  # nothing new
