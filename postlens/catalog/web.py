@@ -44,49 +44,63 @@ def url_canonical(spark, sf_dir):
     )
 
 
-def _pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages", spread=("page_id",))
+def _text_sql(html: str) -> str:
+    text = f"regexp_replace({html}, '</?[a-zA-Z!][^>]*>', ' ', 'g')"
+    for entity, character in (("nbsp", "' '"), ("lt", "'<'"), ("gt", "'>'"), ("quot", "chr(34)"), ("#39", "chr(39)"), ("amp", "'&'")):
+        text = f"replace({text}, '&{entity};', {character})"
+    return rf"trim(regexp_replace({text}, '\s+', ' ', 'g'))"
 
 
-@query("challenge_pages")
-def challenge_pages(spark, sf_dir):
-    shown = pages.page_text(_pages(spark, sf_dir))
-    return shown.select(
-        "page_id",
-        pages.is_challenge("title", "body", fv.CHALLENGE_SIGNS_A).alias("challenge_a"),
-        pages.is_challenge("title", "body", fv.CHALLENGE_SIGNS_B).alias("challenge_b"),
-    )
+SEEN_SQL = r"""(SELECT page_id, html, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'),
+    '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g') AS seen FROM pages)"""
+TITLE_SQL = _text_sql(r"regexp_extract(seen, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)")
 
 
-@query("page_sections")
+@query(
+    "page_sections",
+    rf"""SELECT page_id, nullif({TITLE_SQL}, '') AS title, {_text_sql('seen')} AS body,
+        array_to_string(list_filter([{_text_sql('x')} FOR x IN regexp_extract_all(seen,
+          '(?is)<(?:p|li)\b[^>]*>(.*?)</(?:p|li)\s*>', 1)], lambda t: t <> ''), ' ') AS paragraphs
+        FROM {SEEN_SQL}""",
+)
 def page_sections(spark, sf_dir):
-    return pages.page_text(_pages(spark, sf_dir))
+    return pages.page_text(table(spark, sf_dir, "pages")).drop("last_page")
 
 
-@query("last_page")
-def last_page(spark, sf_dir):
-    return pages.page_text(_pages(spark, sf_dir)).select("page_id", "last_page")
+# The pages' own navigation stands for a pagination bar: its entries are links, and two more are added here.
+BAR, ENTRY = r"(?is)<nav[^>]*>(.*?)</nav>", r"(?is)<li[^>]*>(.*?)</li>"
 
 
-ARTICLES = pages.Cards(
-    card=("article",),
-    picks=(
-        pages.Pick("title", (("h1",),)),
-        pages.Pick("title", (("h2",),)),
-        pages.Pick("link", (("a",),), ("href",)),
-        pages.Pick("links", (), links=True),
-    ),
+@query(
+    "last_page",
+    r"""SELECT page_id, greatest(coalesce(list_max([try_cast(regexp_replace(x, '<[^>]*>', '', 'g') AS INTEGER) FOR x IN
+          regexp_extract_all(regexp_extract(numbered, '(?is)<nav[^>]*>(.*?)</nav>', 1), '(?is)<li[^>]*>(.*?)</li>', 1)]), 1), 1) AS last_page
+        FROM (SELECT page_id, replace(html, '</ul></nav>', concat('<li>', (page_id % 9)::VARCHAR, '</li><li>next</li></ul></nav>')) AS numbered
+              FROM pages)""",
 )
+def last_page(spark, sf_dir):
+    more = F.concat(F.lit("<li>"), (F.col("page_id") % 9).cast("string"), F.lit("</li><li>next</li></ul></nav>"))
+    numbered = F.replace("html", F.lit("</ul></nav>"), more)
+    return table(spark, sf_dir, "pages").select("page_id", pages.last_page(numbered, BAR, ENTRY).alias("last_page"))
 
 
-@query("listing_cards")
-def listing_cards(spark, sf_dir):
-    return pages.listing_cards(_pages(spark, sf_dir), ARTICLES)
+# Words that do occur on some of the pages stand for the protection phrases.
+SIGNS = ("thing", "êeux", "stst")
 
 
-@query("detail_fields")
-def detail_fields(spark, sf_dir):
-    return pages.detail_fields(_pages(spark, sf_dir), pages.read_detail_a)
+@query(
+    "challenge_pages",
+    f"""SELECT page_id, regexp_matches(lower(title), 'thing|êeux|stst') OR regexp_matches(lower(body), 'thing|êeux|stst') AS marked,
+        regexp_matches(lower(body), 'just a moment|attention required|verify you are human|cf-challenge|cloudflare') AS challenge
+        FROM (SELECT page_id, {TITLE_SQL} AS title, {_text_sql('seen')} AS body FROM {SEEN_SQL})""",
+)
+def challenge_pages(spark, sf_dir):
+    read = pages.page_text(table(spark, sf_dir, "pages"))
+    return read.select(
+        "page_id",
+        pages.is_challenge("title", "body", SIGNS).alias("marked"),
+        pages.is_challenge("title", "body", fv.CHALLENGE_SIGNS_A).alias("challenge"),
+    )
 
 
 HEADS = {0: "89504E470D0A1A0A", 1: "FFD8FFDB00430001", 2: "474946383961", 3: "424D3600"}

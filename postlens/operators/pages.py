@@ -1,16 +1,10 @@
 """Web pages as table rows: listing urls, page text, cards, sections and challenge detection.
 
-Url work is plain column expressions. Reading HTML is a small per-page helper on the standard parser, run by
-Spark over Arrow batches of pages.
+All of it is column expressions. Pages are read by the marks around what is wanted, not as a document tree.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,303 +61,127 @@ def is_challenge(title: Column | str, body: Column | str, signs: tuple[str, ...]
     return any_of(shown(title), signs) | any_of(shown(body), signs)
 
 
-# ---- reading one page ----------------------------------------------------------------------
-
-# fixed values: elements without an end tag, and elements whose content is no page text
-_VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
-_HIDDEN = frozenset(("script", "style", "template"))
-
-
-@dataclass
-class Node:
-    tag: str
-    attrs: dict[str, str] = field(default_factory=dict)
-    children: list = field(default_factory=list)
-
-    def walk(self) -> Iterator[Node]:
-        for child in self.children:
-            if isinstance(child, Node):
-                yield child
-                yield from child.walk()
-
-    def strings(self) -> Iterator[str]:
-        for child in self.children:
-            if isinstance(child, str):
-                yield child
-            elif child.tag not in _HIDDEN:
-                yield from child.strings()
-
-    def text(self, joint: str = "") -> str:
-        """Stripped strings below the node, joined."""
-        return joint.join(s for s in map(str.strip, self.strings()) if s)
-
-    def has_class(self, name: str) -> bool:
-        value = self.attrs.get("class") or ""
-        return value == name or name in value.split()
+# ---- reading pages -------------------------------------------------------------------------
 
-    def find_all(self, tag: str | None, css: str | None = None, attr: str | None = None) -> Iterator[Node]:
-        for node in self.walk():
-            if tag in (None, node.tag) and (css is None or node.has_class(css)) and (attr is None or attr in node.attrs):
-                yield node
+#: Entities that are decoded, in this order.
+_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+_UNSEEN = r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
+_TAG = r"(?s)</?[a-zA-Z!][^>]*>"
 
-    def find(self, *path: tuple) -> Node | None:
-        """Follow (tag, class, attribute) steps, first hit each."""
-        node: Node | None = self
-        for step in path:
-            node = next(node.find_all(*step), None) if node else None
-        return node
 
+def plain_text(html: Column) -> Column:
+    """Text of a piece of HTML: tags become spaces, frequent entities are decoded, white space is collapsed."""
+    text = F.regexp_replace(html, _TAG, " ")
+    for entity, character in _ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
 
-class _Reader(HTMLParser):
-    """Builds nodes; an end tag closes up to its nearest open start tag, others are ignored."""
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.open = [Node("")]
+def shown(html: Column | str) -> Column:
+    """A page without scripts, styles and comments; NULL counts as empty."""
+    return F.regexp_replace(F.coalesce(col(html), F.lit("")), _UNSEEN, " ")
 
-    def handle_starttag(self, tag, attrs):
-        node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(node)
-        if tag not in _VOID:
-            self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
+def element(html: Column, tag: str) -> Column:
+    """Text of the first element with this tag, NULL where there is none or it has no text."""
+    return F.nullif(plain_text(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)), F.lit(""))
 
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
 
-    def handle_data(self, data):
-        self.open[-1].children.append(data)
+def elements(html: Column, tags: str) -> Column:
+    """Texts of the elements with one of these tags (`p|li`), each up to the next end tag of them, blank ones left out."""
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{tags})\b[^>]*>(.*?)</(?:{tags})\s*>"), F.lit(1))
+    return F.filter(F.transform(found, plain_text), lambda text: text != "")
 
 
-def read_html(html: str | None) -> Node:
-    reader = _Reader()
-    reader.feed(html or "")
-    reader.close()
-    return reader.open[0]
-
-
-def paragraphs(node: Node | None) -> str | None:
-    """Text of the paragraphs and list items below a node, blank ones left out."""
-    if node is None:
-        return None
-    texts = ["".join(n.strings()) for n in node.walk() if n.tag in ("p", "li")]
-    return " ".join(t for t in texts if t.strip()) or None
-
-
-def last_page(root: Node) -> int:
-    """Largest number among the links of the pagination bar, 1 without one."""
-    bar = next((n for n in root.find_all("nav", "ipagination") if _inside(root, n, "pagination-search-jobs")), None)
-    numbers = [1]
-    for item in bar.find_all("div", "page") if bar else ():
-        if not any(item.has_class(c) for c in ("gap", "prev", "next")):
-            numbers += [int(t) for t in (item.text(" "),) if t.isdigit()]
-    return max(numbers) if len(numbers) > 1 else 1
-
-
-def _inside(root: Node, node: Node, css: str) -> bool:
-    return any(outer.has_class(css) and any(n is node for n in outer.walk()) for outer in root.walk())
-
-
-# ---- what to read out of a card or a detail page -------------------------------------------
-
-
-@dataclass(frozen=True)
-class Pick:
-    """A field: follow `path`, take the text, the first filled attribute, or the texts of all links."""
-
-    name: str
-    path: tuple
-    attrs: tuple[str, ...] = ()
-    links: bool = False
-    cut: str | None = None
-
-    def read(self, node: Node) -> str | None:
-        hit = node.find(*self.path)
-        if hit is None:
-            return None
-        if self.links:
-            return ", ".join(t for t in (a.text() for a in hit.find_all("a")) if t) or None
-        value = next((hit.attrs[a] for a in self.attrs if hit.attrs.get(a)), None) if self.attrs else hit.text()
-        return value.split(self.cut)[0] if value and self.cut else value
-
-
-@dataclass(frozen=True)
-class Cards:
-    """Cards of a listing page: which element is one, what it must hold, and its fields."""
-
-    card: tuple
-    picks: tuple[Pick, ...]
-    needs: tuple | None = None
-
-    def read(self, root: Node) -> list[dict]:
-        cards = root.find_all(*self.card)
-        kept = [c for c in cards if self.needs is None or c.find(self.needs)]
-        return [self.fields(c) for c in kept]
-
-    def fields(self, card: Node) -> dict:
-        values: dict[str, str | None] = {}
-        for pick in self.picks:  # a later pick of the same name is the fallback
-            values[pick.name] = values.get(pick.name) or pick.read(card)
-        return values
-
-
-@dataclass(frozen=True)
-class Sections:
-    """Boxes with a heading and a content; `names` maps headings to fields, the first filled box wins."""
-
-    boxes: tuple[tuple, ...]
-    parts: tuple[tuple[tuple, tuple], ...]  # (heading step, content step) alternatives
-    names: tuple[tuple[str, str], ...]
-
-    def read(self, root: Node) -> dict:
-        found: dict[str, str | None] = {}
-        names = dict(self.names)
-        boxes = [n for n in root.walk() if any(n.tag == t and n.has_class(c) for t, c in self.boxes)]
-        for box in boxes:
-            pair = next(((h, c) for h, c in ((box.find(a), box.find(b)) for a, b in self.parts) if h and c), None)
-            if pair and (name := names.get(pair[0].text())):
-                found[name] = pair[1].text() or found.get(name)
-                if all(found.get(n) for n in names.values()):
-                    break
-        return found
-
-
-def labelled_links(root: Node, label: str, exact: bool) -> str | None:
-    """Texts of the links in the element after the one that holds just `label`."""
-    nodes = list(root.walk())
-    for i, node in enumerate(nodes):
-        if node.tag != "div" or len(node.children) != 1 or not isinstance(node.children[0], str):
-            continue
-        text = node.children[0]
-        if text == label if exact else label in text:
-            after = next((n for n in nodes[i + 1 :] if n.tag == "div"), None)
-            return ", ".join(a.text() for a in after.find_all("a")) if after else None
-    return None
-
-
-# fixed values: element and class names of the two boards' pages
-CARDS_A = Cards(
-    card=("div", "ipy-2"),
-    needs=("h3", None, "data-url"),
-    picks=(
-        Pick("title", (("h3", None, "data-url"),)),
-        Pick("url", (("h3", None, "data-url"),), ("data-url",), cut=fv.TRACKING_SUFFIX_A),
-        Pick("company", (("div", "imy-3 d-flex align-items-center"), ("span",))),
-        Pick("logo", (("div", "imy-3 d-flex align-items-center"), ("img",)), ("data-src",)),
-        Pick("mode", (("div", "text-rich-grey flex-shrink-0"),)),
-        Pick(
-            "location",
-            (("div", "text-rich-grey text-truncate text-nowrap stretched-link position-relative"),),
-            ("title",),
-        ),
-        Pick("tags", (("div", "imt-4 imb-3 d-flex igap-1"),), links=True),
-    ),
-)
-CARDS_B = Cards(
-    card=("div", "job-item-search-result"),
-    picks=(
-        Pick("title", (("h3",),)),
-        Pick("company", (("a", "company"),)),
-        Pick("logo", (("img",),), ("src", "data-src")),
-        Pick("url", (("a",),), ("href",), cut=fv.TRACKING_SUFFIX_B),
-        Pick("location", (("label", "address"), ("span",))),
-        Pick("salary", (("label", "title-salary"),)),
-        Pick("salary", (("label", "salary"),)),
-        Pick("experience", (("label", "exp"), ("span",))),
-    ),
-)
-TEXT_HEADINGS = (("Mô tả công việc", "descriptions"), ("Yêu cầu ứng viên", "requirements"))
-INFO_HEADINGS = (("Hình thức làm việc", "type_of_work"), ("Học vấn", "education"))
-DETAIL_B = (
-    Sections(
-        (("div", "job-description__item"),), ((("h3",), ("div", "job-description__item--content")),), TEXT_HEADINGS
-    ),
-    Sections(
-        (("div", "box-general-group-info"),),
-        ((("div", "box-general-group-info-title"), ("div", "box-general-group-info-value")),),
-        INFO_HEADINGS,
-    ),
+#: Where a board's pagination bar begins and ends, and one numbered entry of it.
+PAGINATION = (
+    r"(?is)pagination-search-jobs.*?ipagination[^>]*>(.*?)</nav>",
+    r'(?is)<div class="page(?: current)?"[^>]*>(.*?)</div>',
 )
-BRAND_B = (
-    Sections(
-        (("div", "premium-job-description__box"), ("div", "box-info")),
-        (
-            (("h2", "premium-job-description__box--title"), ("div", "premium-job-description__box--content")),
-            (("h2", "title"), ("div", "content-tab")),
-        ),
-        TEXT_HEADINGS,
-    ),
-    Sections(
-        (("div", "general-information-data"), ("div", "box-item")),
-        (
-            ((None, "general-information-data__label"), (None, "general-information-data__value")),
-            (("strong",), ("span",)),
-        ),
-        INFO_HEADINGS,
-    ),
-)
-LINKS_A, LINKS_B = "Job Expertise:", "Chuyên môn:"
-PARAGRAPHS_A = ("div", "imy-5 paragraph")
-BRAND_PATH, JOB_PATH = "/brand/", "/viec-lam/"
-DETAIL_FIELDS = ("job_cat", "descriptions", "requirements", "education", "type_of_work")
-
-
-def read_detail_a(url: str | None, root: Node) -> dict:
-    texts = [paragraphs(n) for n in root.find_all(*PARAGRAPHS_A)][:2]
-    named = dict(zip(("descriptions", "requirements"), texts))
-    return {"job_cat": labelled_links(root, LINKS_A, exact=True), **named}
 
 
-def read_detail_b(url: str | None, root: Node) -> dict:
-    url = url or ""
-    layouts = BRAND_B if BRAND_PATH in url else DETAIL_B if JOB_PATH in url else ()
-    values = {"job_cat": labelled_links(root, LINKS_B, exact=False)}
-    for layout in layouts:
-        values.update(layout.read(root))
-    return values
-
-
-# ---- over a table of pages -----------------------------------------------------------------
-
-
-def _per_page(pages: DataFrame, key: str, fields: tuple[str, ...], read) -> DataFrame:
-    """Rows that `read(url, root)` returns for each page, as (key, position, fields)."""
-    kind = pages.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, position int, " + ", ".join(f"`{f}` string" for f in fields)
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [
-                (page, i, *[values.get(f) for f in fields])
-                for page, url, html in zip(batch[key], batch["url"], batch["html"])
-                for i, values in enumerate(read(url, read_html(html)))
-            ]
-            yield pd.DataFrame(out, columns=[key, "position", *fields])
-
-    return pages.select(key, "url", "html").mapInPandas(rows, schema)
-
-
-def listing_cards(pages: DataFrame, cards: Cards, key: str = "page_id") -> DataFrame:
-    names = tuple(dict.fromkeys(p.name for p in cards.picks))
-    return _per_page(pages, key, names, lambda url, root: cards.read(root))
-
-
-def detail_fields(pages: DataFrame, read=read_detail_a, key: str = "page_id") -> DataFrame:
-    return _per_page(pages, key, DETAIL_FIELDS, lambda url, root: [read(url, root)]).drop("position")
+def last_page(html: Column | str, bar: str = PAGINATION[0], entry: str = PAGINATION[1]) -> Column:
+    """Largest number among the entries of the pagination bar, 1 without one."""
+    entries = F.regexp_extract_all(F.regexp_extract(shown(html), bar, 1), F.lit(entry), F.lit(1))
+    numbers = F.transform(entries, lambda e: plain_text(e).try_cast("int"))
+    return F.greatest(F.coalesce(F.array_max(numbers), F.lit(1)), F.lit(1))
 
 
 def page_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Title, body text and paragraph text of every page, and the last page its pagination names."""
-
-    def read(url, root):
-        title = root.find(("title",))
-        shown = {"title": title.text() if title else None, "body": root.text(" "), "paragraphs": paragraphs(root)}
-        return [{**shown, "last_page": str(last_page(root))}]
-
-    out = _per_page(pages, key, ("title", "body", "paragraphs", "last_page"), read).drop("position")
-    return out.withColumn("last_page", F.col("last_page").cast("int"))
+    seen = shown("html")
+    return pages.select(
+        key,
+        element(seen, "title").alias("title"),
+        plain_text(seen).alias("body"),
+        F.nullif(F.array_join(elements(seen, "p|li"), " "), F.lit("")).alias("paragraphs"),
+        last_page("html").alias("last_page"),
+    )
+
+
+# ---- cards of a listing and fields of a posting --------------------------------------------
+
+class Links(str):
+    """A pattern around links whose texts are listed."""
+
+
+#: Where a card begins, and each field's patterns on it (the first filled one counts).
+CARDS_A = (
+    r'<div class="ipy-2"',
+    {
+        "title": (r"(?is)<h3[^>]*data-url=[^>]*>(.*?)</h3>",),
+        "url": (r'(?is)<h3[^>]*data-url="([^"?]*)',),
+        "company": (r'(?is)class="imy-3 d-flex align-items-center".*?<span[^>]*>(.*?)</span>',),
+        "logo": (r'(?is)class="imy-3 d-flex align-items-center".*?<img[^>]*data-src="([^"]*)"',),
+        "mode": (r'(?is)class="text-rich-grey flex-shrink-0"[^>]*>(.*?)</div>',),
+        "location": (r'(?is)class="text-rich-grey text-truncate text-nowrap stretched-link position-relative"\s+title="([^"]*)"',),
+        "tags": (Links(r'(?is)class="imt-4 imb-3 d-flex igap-1"[^>]*>(.*?)</div>'),),
+    },
+)
+CARDS_B = (
+    r'<div class="job-item-search-result',
+    {
+        "title": (r"(?is)<h3[^>]*>(.*?)</h3>",),
+        "company": (r'(?is)<a[^>]*class="company"[^>]*>(.*?)</a>',),
+        "logo": (r'(?is)<img[^>]* src="([^"]*)"', r'(?is)<img[^>]*data-src="([^"]*)"'),
+        "url": (r'(?is)<a[^>]*href="([^"?]*)',),
+        "location": (r'(?is)<label class="address"[^>]*>(.*?)</label>',),
+        "salary": (r'(?is)<label class="title-salary"[^>]*>(.*?)</label>', r'(?is)<label class="salary"[^>]*>(.*?)</label>'),
+        "experience": (r'(?is)<label class="exp"[^>]*>(.*?)</label>',),
+    },
+)
+#: The fields of a posting's page by their headings or labels.
+DETAIL_A = {
+    "job_cat": (Links(r"(?is)<div[^>]*>\s*Job Expertise:\s*</div>\s*<div[^>]*>(.*?)</div>"),),
+    "descriptions": (r'(?is)class="imy-5 paragraph"[^>]*>(.*?)</div>',),
+    "requirements": (r'(?is)class="imy-5 paragraph".*?class="imy-5 paragraph"[^>]*>(.*?)</div>',),
+}
+DETAIL_B = {
+    "job_cat": (Links(r"(?is)<div[^>]*>[^<]*Chuyên môn:[^<]*</div>\s*<div[^>]*>(.*?)</div>"),),
+    "descriptions": (r"(?is)<h[23][^>]*>\s*Mô tả công việc\s*</h[23]>\s*<div[^>]*>(.*?)</div>",),
+    "requirements": (r"(?is)<h[23][^>]*>\s*Yêu cầu ứng viên\s*</h[23]>\s*<div[^>]*>(.*?)</div>",),
+    "education": (r"(?is)>\s*Học vấn\s*</(?:div|strong)>\s*<(?:div|span)[^>]*>(.*?)</(?:div|span)>",),
+    "type_of_work": (r"(?is)>\s*Hình thức làm việc\s*</(?:div|strong)>\s*<(?:div|span)[^>]*>(.*?)</(?:div|span)>",),
+}
+
+
+def _fields(html: Column, patterns: dict[str, tuple[str, ...]]) -> list[Column]:
+    def read(pattern: str) -> Column:
+        found = F.regexp_extract(html, str(pattern), 1)
+        listed = F.array_join(elements(found, "a"), ", ") if isinstance(pattern, Links) else plain_text(found)
+        return F.nullif(listed, F.lit(""))
+
+    return [F.coalesce(*[read(p) for p in options]).alias(name) for name, options in patterns.items()]
+
+
+def listing_cards(pages: DataFrame, cards: tuple[str, dict[str, tuple[str, ...]]], key: str = "page_id") -> DataFrame:
+    """One row per card that has a title: the page, its position on it and its fields."""
+    marker, patterns = cards
+    found = pages.select(key, F.posexplode(F.split(shown("html"), marker, -1)).alias("position", "_card"))
+    named = found.filter("position > 0").select(key, (F.col("position") - 1).alias("position"), *_fields(F.col("_card"), patterns))
+    return named.filter("title IS NOT NULL")
+
+
+def detail_fields(pages: DataFrame, patterns: dict[str, tuple[str, ...]] = DETAIL_A, key: str = "page_id") -> DataFrame:
+    """The fields that a posting's page shows, NULL where it has none."""
+    return pages.select(key, *_fields(shown("html"), patterns))

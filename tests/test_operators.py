@@ -356,12 +356,11 @@ def test_page_urls(spark):
 def test_total_pages_and_last_page(spark):
     df = spark.createDataFrame([("1 / 200 trang",), ("1 / 1.200 trang",), ("none",), (None,)], "t string")
     assert [r[0] for r in df.select(pages.total_pages("t")).collect()] == [200, 1200, 1, 1]
-    html = """<div class="pagination-search-jobs"><nav class="ipagination"><div class="page prev"><a href="#">99</a></div>
-      <div class="page"><a href="?page=1">1</a></div><div class="page gap">...</div><div class="page"><a href="?page=4">4</a></div>
-      <div class="page current">5</div><div class="page"><a href="?page=6">6</a></div><div class="page"><a href="?page=9">9</a></div>
-      <div class="page next"><a href="#">77</a></div></nav></div>"""
+    entries = ((" prev", 40), ("", 2), (" current", 3), (" gap", ".."), ("", 11), (" next", 50))
+    bar = "".join(f'<div class="page{kind}"><a>{shown}</a></div>' for kind, shown in entries)
+    html = f'<section class="pagination-search-jobs"><nav class="ipagination wide">{bar}</nav></section>'
     got = pages.page_text(page(spark, html)).first()
-    assert got["last_page"] == 9 and pages.page_text(page(spark, "<p>x")).first()["last_page"] == 1
+    assert got["last_page"] == 11 and pages.page_text(page(spark, "<p>x")).first()["last_page"] == 1
 
 
 def test_page_text_and_challenges(spark):
@@ -370,7 +369,7 @@ def test_page_text_and_challenges(spark):
     signs = got.select(
         pages.is_challenge("title", "body", fv.CHALLENGE_SIGNS_A), pages.is_challenge(F.lit(""), F.lit("captcha"), fv.CHALLENGE_SIGNS_B)
     )
-    assert tuple(got.first())[1:3] == ("Just a moment", "Just a moment One two") and got.first()["paragraphs"] == " One  two"
+    assert tuple(got.first())[1:4] == ("Just a moment", "Just a moment One two", "One two")
     assert tuple(signs.first()) == (True, True)
 
 
@@ -394,19 +393,22 @@ def test_cards_of_both_boards(spark):
 def test_details_of_both_boards(spark):
     a = """<div>Job Expertise:</div><div><a>Data</a><a> ML </a></div><div class="imy-5 paragraph"><p>Do</p><li>it</li></div>
       <div class="imy-5 paragraph"><p>Know</p></div>"""
-    got = pages.detail_fields(page(spark, a), pages.read_detail_a).first().asDict()
+    got = pages.detail_fields(page(spark, a), pages.DETAIL_A).first().asDict()
     assert (got["job_cat"], got["descriptions"], got["requirements"]) == ("Data, ML", "Do it", "Know")
-    b = """<div> Chuyên môn: </div><div><a>BA</a></div><div class="job-description__item"><h3>Mô tả công việc</h3>
-      <div class="job-description__item--content"> <p>Do</p> </div></div><div class="job-description__item"><h3>Yêu cầu ứng viên</h3>
-      <div class="job-description__item--content">Know</div></div><div class="box-general-group-info">
-      <div class="box-general-group-info-title">Học vấn</div><div class="box-general-group-info-value">PhD</div></div>"""
-    got = pages.detail_fields(page(spark, b, "https://h/viec-lam/x"), pages.read_detail_b).first().asDict()
+    b = """<div> Chuyên môn: </div><div><a>BA</a></div><div class="item"><h3>Mô tả công việc</h3>
+      <div class="content"> <p>Do</p> </div></div><div class="item"><h3>Yêu cầu ứng viên</h3>
+      <div class="content">Know</div></div><div><div class="title">Học vấn</div><div class="value">PhD</div></div>"""
+    got = pages.detail_fields(page(spark, b), pages.DETAIL_B).first().asDict()
     assert (got["job_cat"], got["descriptions"], got["requirements"], got["education"]) == ("BA", "Do", "Know", "PhD")
-    assert pages.detail_fields(page(spark, b, "https://h/other"), pages.read_detail_b).first()["descriptions"] is None
-    brand = """<div class="box-info"><h2 class="title">Mô tả công việc</h2><div class="content-tab">Do</div></div>
-      <div class="box-item"><strong>Hình thức làm việc</strong><span>Full</span></div>"""
-    got = pages.detail_fields(page(spark, brand, "https://h/brand/x"), pages.read_detail_b).first().asDict()
-    assert (got["descriptions"], got["type_of_work"]) == ("Do", "Full")
+    brand = """<div class="box"><h2 class="title">Mô tả công việc</h2><div class="tab">Do</div></div>
+      <div class="box"><strong>Hình thức làm việc</strong><span>Full</span></div>"""
+    got = pages.detail_fields(page(spark, brand), pages.DETAIL_B).first().asDict()
+    assert (got["descriptions"], got["type_of_work"], got["education"]) == ("Do", "Full", None)
+
+
+def test_a_page_of_unclosed_tags(spark):
+    got = pages.page_text(page(spark, "<div>" * 5000 + "deep")).first()
+    assert got["body"] == "deep"
 
 
 # ---- assets --------------------------------------------------------------------------------
