@@ -1,9 +1,11 @@
 """Request throttles per key, decided in event-time order.
 
-Both decide one event after the other, so a key cannot simply be cut anywhere. Two exact cuts are used:
+Both decide one event after the other, so a key cannot simply be cut anywhere. Exact cuts are used:
 
-* A pause of a whole window empties the state. Keys are split into segments at such pauses, found on the distinct
-  (key, window-sized cell) pairs, never on the events. (sliding log)
+* A pause of a whole window empties the state. And where two neighbouring window-sized cells of a key hold at most
+  `limit` events together, all events of the later one were accepted whatever came before, and they are the whole
+  state for the next cell. Keys are split into segments at both, found on the counts of (key, cell) pairs, never on
+  the events; a segment after a quiet cell reads that cell's few events first. (sliding log)
 * A fixed window only hands its end time on. Each (key, chunk of time) is therefore summarised in parallel as
   "window ends at E -> window ends at E'", the few summary rows are chained per key, and the chunks are then
   decided in parallel. A key that never pauses is still spread over all its chunks. (fixed window)
@@ -59,20 +61,25 @@ def slide(log: deque, at: int, limit: int, window: int) -> tuple[bool, int, int]
     return True, limit - len(log), 0
 
 
-def with_segment(timed: DataFrame, window: int) -> DataFrame:
-    """Adds `segment`: the first cell of a run of cells without an empty one in between.
+def with_segment(timed: DataFrame, window: int, limit: int) -> DataFrame:
+    """Adds `segment` and `known`: known rows are events of the quiet cell before the segment, accepted for certain.
 
-    An empty cell means that the key paused for more than a window.
+    They are extra rows, at most `limit` for each segment.
     """
-    cell = F.floor(F.col("at") / window).alias("cell")
-    celled = timed.select("*", cell)
-    cells = celled.select("key", "cell").distinct()
+    celled = timed.withColumn("cell", F.floor(F.col("at") / window))
     by_key = Window.partitionBy("key").orderBy("cell")
-    starts = F.when(F.col("cell") - F.lag("cell").over(by_key) == 1, None).otherwise(F.col("cell"))
-    runs = cells.withColumn("_start", starts)
+    follows = F.coalesce(F.col("cell") - F.lag("cell").over(by_key) == 1, F.lit(False))
+    before = F.when(follows, F.lag("n").over(by_key)).otherwise(F.lit(0))
+    cells = celled.groupBy("key", "cell").agg(F.count("*").alias("n"))
+    cells = cells.withColumns({"_follows": follows, "_quiet": F.col("n") + before <= limit})
+    starts = ~F.col("_follows") | F.lag("_quiet").over(by_key)
+    feeds = F.col("_quiet") & F.coalesce(F.lead("cell").over(by_key) == F.col("cell") + 1, F.lit(False))
+    cells = cells.withColumns({"_start": F.when(starts, F.col("cell")), "_feeds": feeds})
     segment = F.last("_start", ignorenulls=True).over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-    runs = runs.select("key", "cell", segment.alias("segment"))
-    return celled.join(runs, ["key", "cell"]).drop("cell")
+    cells = cells.select("key", "cell", "_feeds", segment.alias("segment"))
+    own = F.struct("segment", F.lit(False).alias("known"))
+    next_ = F.when(F.col("_feeds"), F.struct((F.col("cell") + 1).alias("segment"), F.lit(True).alias("known")))
+    return celled.join(cells, ["key", "cell"]).select("key", "seq", "at", F.inline(F.array_compact(F.array(own, next_))))
 
 
 def throttle_sliding(
@@ -94,13 +101,16 @@ def throttle_sliding(
         current, log = None, deque()
         for batch in batches:
             out = []
-            for owner, segment, at in zip(batch["key"], batch["segment"], batch["at"]):
+            for owner, segment, at, known in zip(batch["key"], batch["segment"], batch["at"], batch["known"]):
                 if (owner, segment) != current:
                     current, log = (owner, segment), deque()
-                out.append(slide(log, at, limit, window))
-            yield decisions_of(batch, out)
+                if known:
+                    log.append(at)
+                else:
+                    out.append(slide(log, at, limit, window))
+            yield decisions_of(batch[~batch["known"]], out)
 
-    segments = with_segment(timed, window).repartition("key", "segment").sortWithinPartitions("key", "segment", "at", "seq")
+    segments = with_segment(timed, window, limit).repartition("key", "segment").sortWithinPartitions("key", "segment", "at", "seq")
     return _result(segments.mapInPandas(decide, _schema(timed)), key, ts, order)
 
 

@@ -1,15 +1,23 @@
-"""The whole build in order: bronze, silver, gold, reports, text to embed; a layer is checked before the next."""
+"""The whole build in order: crawl records, staging, bronze, silver, gold, reports, text to embed, embeddings, audit.
+
+Every model is written and checked before anything reads it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postlens.operators.quality import MODEL_CHECKS, require
-from postlens.plans import gold, reports, silver
+from postlens.operators.keys import dedupe_first
+from postlens.operators.merge import upsert_latest
+from postlens.operators.quality import MODEL_CHECKS, Check, QualityError, require, required_gate
+from postlens.operators.vectors import embed_text
+from postlens.plans import audit, gold, reports, silver
 from postlens.plans.bronze import merge_bronze, stg_board_a_jobs, stg_board_b_jobs
-from postlens.plans.embedding import vector_db
+from postlens.plans.embedding import rows_to_embed, vector_db
 
 DIMENSIONS = {
     "dim_company": gold.dim_company,
@@ -55,10 +63,62 @@ class Store:
         return self.spark.read.parquet(self.path(layer, name, self.previous)) if self.previous else None
 
 
+@dataclass(frozen=True)
+class Crawl:
+    """One board's crawled records and what they have to satisfy before they are staged.
+
+    `renames` maps record fields to staging columns; `required` fields must be filled, or the record is left out.
+    """
+
+    records: DataFrame
+    renames: dict[str, str]
+    required: Sequence[str]
+    checks: Sequence[Check]
+    order: str
+
+
+def stage_crawl(staging: DataFrame, crawl: Crawl, name: str, on_insert: dict[str, Column] | None = None) -> DataFrame:
+    """Next state of a staging table: first record of each url, complete and checked, upserted by url.
+
+    Records that lack a required field are left out; a batch that fails a check raises.
+    """
+    first = dedupe_first(crawl.records, "url", crawl.order)
+    complete = required_gate(first, crawl.required).filter(F.size("missing") == 0).drop("missing")
+    checked = require(complete, crawl.checks, name)
+    renamed = checked.select(*[F.col(field).alias(column) for field, column in crawl.renames.items()], F.col(crawl.order).alias("_order"))
+    mutable = [c for c in crawl.renames.values() if c != "url"]
+    return upsert_latest(staging, renamed, "url", "_order", mutable, on_insert)
+
+
+def stage_boards(boards: dict[str, tuple[DataFrame, Crawl]], on_insert: dict[str, Column] | None = None) -> dict[str, DataFrame]:
+    """Staging tables of all boards by name; a board whose batch fails keeps its table, unless all of them fail."""
+    staged, failures = {}, []
+    for name, (staging, crawl) in boards.items():
+        try:
+            staged[name] = stage_crawl(staging, crawl, name, on_insert)
+        except QualityError as error:
+            failures.append(str(error))
+            staged[name] = staging
+    if len(failures) == len(boards):
+        raise QualityError("; ".join(failures))
+    return staged
+
+
 def build_all(
-    store: Store, staging_a: DataFrame, staging_b: DataFrame, logos: DataFrame, load_time: Column | None = None
+    store: Store,
+    staging_a: DataFrame,
+    staging_b: DataFrame,
+    logos: DataFrame,
+    load_time: Column | None = None,
+    runs: DataFrame | None = None,
+    dag: str = "",
+    embedder=None,
 ) -> dict[str, DataFrame]:
-    """Build and check every model; returns the written tables by name."""
+    """Build and check every model; returns the written tables by name.
+
+    With an `embedder` the texts that the collection does not hold yet are embedded and appended to it. `runs` are the
+    audit records; their summaries of workflow `dag` come last.
+    """
     built: dict[str, DataFrame] = {}
 
     def add(layer: str, name: str, df: DataFrame) -> DataFrame:
@@ -84,5 +144,14 @@ def build_all(
         add("reports", name, report(fact))
     known = store.before("vector_db", "vector_db")
     fresh = store.write("vector_db_new", "vector_db", vector_db(fact, jobs, known))
-    add("vector_db", "vector_db", fresh if known is None else known.unionByName(fresh))
+    texts = add("vector_db", "vector_db", fresh if known is None else known.unionByName(fresh))
+    if embedder is not None:
+        held = store.before("collection", "embeddings")
+        rows = texts.select("job_id", "embedding_text")
+        new = rows if held is None else rows_to_embed(rows, held, F.col("job_id"))
+        embedded = embed_text(new, "embedding_text", embedder).select("job_id", "embedding")
+        add("collection", "embeddings", embedded if held is None else held.unionByName(embedded))
+    if runs is not None:
+        add("audit", "job_elt_summary", audit.job_elt_summary(runs, dag))
+        add("audit", "task_performance", audit.task_performance(runs, dag))
     return built

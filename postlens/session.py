@@ -41,9 +41,24 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_written: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has written to yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far, once the results that read them are stored; returns their number."""
+    paths, hadoop = list(_written), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    _written.clear()
+    for path in paths:
+        folder = hadoop(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

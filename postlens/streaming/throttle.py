@@ -22,17 +22,26 @@ def throttle_stream(
     order: str = "event_id",
     limit: int = fv.THROTTLE_REQUESTS,
     seconds: int = fv.THROTTLE_SECONDS,
+    lateness: str | None = None,
 ) -> DataFrame:
     """Decisions of a stream of events, `kind` is "fixed" or "sliding".
 
-    Events are decided in order within a micro-batch; batches must arrive in time order.
+    Events are decided in order within a micro-batch; batches must arrive in time order. With a `lateness` ("10 minutes")
+    a key's state goes one window after its last event, by event time, and events that are later than that behind the
+    newest are dropped; without it every event is decided and the state of every key is kept.
     """
     window = seconds * MICROS
-    timed = events.select(F.col(key).alias("key"), F.col(order).alias("seq"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at"))
+    at = F.col(ts).cast("timestamp")
+    timed = events.select(F.col(key).alias("key"), F.col(order).alias("seq"), F.unix_micros(at).alias("at"), at.alias("event_time"))
+    if lateness is not None:
+        timed = timed.withWatermark("event_time", lateness)
     kinds = {f.name: f.dataType.simpleString() for f in timed.schema.fields}
     output = f"key {kinds['key']}, seq {kinds['seq']}, at bigint, {DECISION}"
 
     def decide(owner: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         held = state.get if state.exists else None
         log = deque(held[0]) if held else deque()
         fixed = (held[1], held[2]) if held else (-window, 0)
@@ -45,10 +54,13 @@ def throttle_stream(
                 fixed, decision = count_in_window(fixed, at, limit, window)
                 out.append(decision)
         state.update(([int(a) for a in log], int(fixed[0]), int(fixed[1])))
+        if lateness is not None:
+            state.setTimeoutTimestamp((int(rows["at"].iloc[-1]) + window) // 1000 + 1)
         yield decisions_of(rows, out)
 
+    timeout = GroupStateTimeout.NoTimeout if lateness is None else GroupStateTimeout.EventTimeTimeout
     decided = timed.groupBy("key").applyInPandasWithState(
-        decide, output, "log array<bigint>, opened bigint, count bigint", "append", GroupStateTimeout.NoTimeout
+        decide, output, "log array<bigint>, opened bigint, count bigint", "append", timeout
     )
     return decided.select(
         F.col("key").alias(key), F.col("seq").alias(order), F.timestamp_micros("at").alias(ts), "allowed", "remaining", "retry_after"

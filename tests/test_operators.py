@@ -260,6 +260,20 @@ def test_throttles_match_brute_force(spark, kind, seed):
     assert got == brute(events, kind, 4, 60)
 
 
+def test_a_busy_key_is_cut_at_quiet_moments(spark):
+    """A key that never pauses for a window, but slows down: its segments are more than one, its decisions the same."""
+    gaps = ([1] * 30 + [40] * 4) * 12
+    at = np.cumsum(gaps) * throttle.MICROS
+    events = [("busy", i, int(t)) for i, t in enumerate(at)]
+    df = spark.createDataFrame(events, "user_id string, event_id bigint, at bigint").withColumn("ts", F.timestamp_micros("at"))
+    timed = df.select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), "at")
+    segments = throttle.with_segment(timed, 60 * throttle.MICROS, 4)
+    assert segments.select("segment").distinct().count() > 10
+    assert segments.filter("NOT known").count() == len(events)
+    got = {r["event_id"]: (r["allowed"], r["remaining"], r["retry_after"]) for r in throttle.throttle_sliding(df, limit=4, seconds=60).collect()}
+    assert got == brute(events, "sliding", 4, 60)
+
+
 @pytest.mark.parametrize("kind", ["fixed", "sliding"])
 def test_throttle_denies_the_third_of_two(spark, kind):
     df = spark.createDataFrame([("u", i, dt.datetime(2024, 1, 1)) for i in range(3)], "user_id string, event_id int, ts timestamp")
@@ -268,17 +282,17 @@ def test_throttle_denies_the_third_of_two(spark, kind):
     assert got == [(0, True, 1, 0), (1, True, 0, 0), (2, False, 0, 60)]
 
 
-@pytest.mark.parametrize("kind", ["fixed", "sliding"])
-def test_throttle_stream_keeps_state_between_batches(spark, tmp_path, kind):
+@pytest.mark.parametrize("kind, lateness", [("fixed", None), ("sliding", None), ("fixed", "1 minute"), ("sliding", "1 minute")])
+def test_throttle_stream_keeps_state_between_batches(spark, tmp_path, kind, lateness):
     rng = random.Random(5)
-    events = [(f"u{rng.randrange(3)}", i, i * 7 * throttle.MICROS) for i in range(120)]
+    events = [(f"u{rng.randrange(3)}", i, (i + 1) * 7 * throttle.MICROS) for i in range(120)]
     for part in range(3):
         chunk = events[part * 40 : (part + 1) * 40]
         df = spark.createDataFrame(chunk, "user_id string, event_id bigint, at bigint")
         df.withColumn("ts", F.timestamp_micros("at")).drop("at").coalesce(1).write.parquet(str(tmp_path / "in" / f"p{part}"))
     schema = "user_id string, event_id bigint, ts timestamp"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(str(tmp_path / "in" / "*"))
-    decided = throttle_stream(stream, kind, limit=2, seconds=60)
+    decided = throttle_stream(stream, kind, limit=2, seconds=60, lateness=lateness)
     out = str(tmp_path / "out")
     decided.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out).awaitTermination()
     got = {r["event_id"]: (r["allowed"], r["remaining"], r["retry_after"]) for r in spark.read.parquet(out).collect()}
