@@ -553,11 +553,20 @@ def batch_caps(spark, sf_dir):
 # ---- filters -------------------------------------------------------------------------------
 
 
-@query("filters_category", with_ctes("SELECT url, job_category FROM silver_b WHERE job_category <> 'Others'", "silver_b"))
+@query(
+    "filters_category",
+    with_ctes(
+        """SELECT url, job_category FROM silver_a WHERE job_category <> 'Others'
+           UNION ALL SELECT url, job_category FROM silver_b WHERE job_category <> 'Others'""",
+        "silver_b",
+    ),
+)
 def filters_category(spark, sf_dir):
     from postlens.plans.gold import categorised
 
-    return categorised(fx.silver_b(spark, sf_dir)).select("url", "job_category")
+    boards = [fx.silver_a(spark, sf_dir), fx.silver_b(spark, sf_dir)]
+    a, b = (categorised(board).select("url", "job_category") for board in boards)
+    return a.unionByName(b)
 
 
 @query(
@@ -576,18 +585,27 @@ def filters_pending(spark, sf_dir):
     return b.unionByName(pending_jobs(fx.staging_a(spark, sf_dir), fv.HIDDEN_SALARY))
 
 
-@query(
-    "required_fields",
-    with_ctes(
-        """SELECT url, title IS NOT NULL AND salary <> '' AND level_of_education <> '' AS accepted,
-           list_filter(['salary', 'level_of_education'], lambda f: CASE f WHEN 'salary' THEN coalesce(salary, '') = ''
-             ELSE coalesce(level_of_education, '') = '' END) AS missing
-           FROM staging_b""",
-        "staging_b",
-    ).replace("title IS NOT NULL AND salary <> '' AND level_of_education <> ''", "coalesce(salary, '') <> '' AND coalesce(level_of_education, '') <> ''"),
-)
+REQUIRED = {
+    "a": ("url", "descriptions", "requirements_and_experiences", "work_model"),
+    "b": ("url", "descriptions", "requirements", "experiences", "salary", "level_of_education"),
+}
+
+
+def _required_sql(board: str) -> str:
+    gaps = ", ".join(f"CASE WHEN coalesce({f}, '') = '' THEN '{f}' END" for f in REQUIRED[board])
+    return f"""SELECT '{board}' AS board, url, len(missing) = 0 AS accepted, missing FROM (
+        SELECT url, list_filter([{gaps}], lambda f: f IS NOT NULL) AS missing FROM staging_{board})"""
+
+
+@query("required_fields", with_ctes(_required_sql("a") + " UNION ALL " + _required_sql("b"), "staging_b"))
 def required_fields(spark, sf_dir):
     from postlens.operators.quality import required_gate
 
-    jobs = required_gate(fx.staging_b(spark, sf_dir), ["salary", "level_of_education"])
-    return jobs.select("url", (F.size("missing") == 0).alias("accepted"), "missing")
+    boards = {"a": fx.staging_a(spark, sf_dir), "b": fx.staging_b(spark, sf_dir)}
+    a, b = (
+        required_gate(staging, REQUIRED[board]).select(
+            F.lit(board).alias("board"), "url", (F.size("missing") == 0).alias("accepted"), "missing"
+        )
+        for board, staging in boards.items()
+    )
+    return a.unionByName(b)

@@ -214,17 +214,25 @@ def query_plan_texts(spark, sf_dir):
 # ---- messages ------------------------------------------------------------------------------
 
 
+def _alert_sql(board: str, salary: str) -> str:
+    return f"""SELECT trim(title) AS title, url, CASE WHEN logo_url <> '' THEN trim(logo_url) END AS thumbnail,
+        CASE WHEN working_location <> '' THEN trim(working_location) END AS location,
+        {salary} AS salary FROM staging_{board} WHERE NOT posted_to_discord"""
+
+
 @query(
     "alert_records",
     with_ctes(
-        """SELECT trim(title) AS title, url, CASE WHEN logo_url <> '' THEN trim(logo_url) END AS thumbnail,
-           CASE WHEN working_location <> '' THEN trim(working_location) END AS location,
-           CASE WHEN salary <> '' THEN salary ELSE 'Negotiable' END AS salary FROM staging_b WHERE NOT posted_to_discord""",
+        _alert_sql("a", "'Sign-in for details.'")
+        + " UNION ALL "
+        + _alert_sql("b", "CASE WHEN salary <> '' THEN salary ELSE 'Negotiable' END"),
         "staging_b",
     ),
 )
 def alert_records(spark, sf_dir):
-    return alerts.alert_records(alerts.pending_jobs(fx.staging_b(spark, sf_dir)))
+    a = alerts.pending_jobs(fx.staging_a(spark, sf_dir), "Sign-in for details.")
+    b = alerts.pending_jobs(fx.staging_b(spark, sf_dir))
+    return alerts.alert_records(a.unionByName(b))
 
 
 @query(
