@@ -8,7 +8,7 @@ from postlens import fixed_values as fv
 from postlens.catalog import fixture as fx
 from postlens.catalog.fixture import with_ctes
 from postlens.catalog.registry import query, table
-from postlens.catalog.text import messages
+from postlens.catalog.text import MESSAGE, PLAN_SQL, messages
 from postlens.operators.vectors import cosine_topk, embed_text
 from postlens.plans import audit, embedding, gold, retrieval
 
@@ -125,7 +125,7 @@ def _jobs(spark, sf_dir):
     documents = table(spark, sf_dir, "documents", spread=("doc_id",))
     empty = [F.lit(None).cast("string").alias(f) for f in fv.METADATA_FIELDS]
     low = F.col("doc_id") % 60 + 5
-    salary = F.when(F.col("doc_id") % 3 == 0, "Thoả thuận").otherwise(F.concat(low.cast("string"), F.lit(" - 70 triệu")))
+    salary = F.when(F.col("doc_id") % 3 == 0, "Thoả thuận").otherwise(F.concat(low.cast("string"), F.lit(" - "), (low * 2).cast("string"), F.lit(" triệu")))
     rows = documents.select(*empty, F.col("text").alias("document"), "doc_id", "source", "lang")
     rows = rows.withColumns(
         {
@@ -154,13 +154,41 @@ def _results(spark, sf_dir):
     return retrieval.result_records(found.join(jobs.select("job_id", "document", "metadata"), "job_id"))
 
 
-@query("retrieve")
+def _dense_sql(key: str, text: str, source: str) -> str:
+    return f"""SELECT id, [coalesce(m[p], 0::FLOAT)::DOUBLE FOR p IN range(256)] AS v
+        FROM (SELECT id, map_from_entries(list((place, weight::FLOAT))) AS m FROM ({TERMS.format(id=key, text=text, table=source)}) GROUP BY id)"""
+
+
+RETRIEVE = f"""
+WITH plans AS (SELECT conv_id || '-' || turn AS query_id, * EXCLUDE (conv_id, turn) FROM ({PLAN_SQL})),
+asks AS ({_dense_sql('query_id', 'message', f"(SELECT conv_id || '-' || turn AS query_id, {MESSAGE} AS message FROM conversations)")}),
+docs AS ({_dense_sql('job_id', 'text', '(SELECT doc_id::VARCHAR AS job_id, text FROM documents)')}),
+pay AS (SELECT doc_id::VARCHAR AS job_id, CASE WHEN doc_id % 3 = 0 THEN -1.0 ELSE (doc_id % 60 + 5) * 2.0 END AS value FROM documents),
+near AS (
+  SELECT * FROM (SELECT a.id AS query_id, d.id AS job_id, whole, row_number() OVER (PARTITION BY a.id ORDER BY whole, d.id) AS rank
+    FROM (SELECT a.id AS a_id, d.id AS d_id, 1 - list_cosine_similarity(a.v, d.v) AS whole FROM asks a CROSS JOIN docs d) c
+    JOIN asks a ON a.id = a_id JOIN docs d ON d.id = d_id) WHERE rank <= 50),
+found AS (
+  SELECT query_id, job_id, position, response_limit, retrieval_limit, 'semantic_search' AS retrieval_mode, salary_sort_desc,
+         abs(round(whole, 6)) AS distance
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY v >= 0 DESC, v DESC, rank) AS position
+        FROM (SELECT n.*, p.* EXCLUDE (query_id), CASE WHEN salary_sort_desc THEN value ELSE 0 END AS v
+              FROM near n JOIN plans p USING (query_id) JOIN pay USING (job_id)
+              WHERE NOT scan_salary_collection AND rank <= retrieval_limit))
+  WHERE position <= response_limit),
+top AS (SELECT job_id, row_number() OVER (ORDER BY value >= 0 DESC, value DESC, job_id) AS position FROM pay)
+SELECT * REPLACE (position::INTEGER AS position) FROM found UNION ALL
+SELECT query_id, job_id, position::INTEGER, response_limit, retrieval_limit, 'salary_collection_scan', salary_sort_desc, NULL
+FROM plans JOIN top ON position <= response_limit WHERE scan_salary_collection"""
+
+
+@query("retrieve", RETRIEVE)
 def retrieve(spark, sf_dir):
     return retrieval.retrieve(_requests(spark, sf_dir).drop("user_id"), _jobs(spark, sf_dir))
 
 
 TITLE, LINK = "concat('Job ', doc_id::VARCHAR)", "concat('https://jobs.example/', doc_id::VARCHAR)"
-SALARY = "CASE WHEN doc_id % 3 = 0 THEN 'Thoả thuận' ELSE concat((doc_id % 60 + 5)::VARCHAR, ' - 70 triệu') END"
+SALARY = "CASE WHEN doc_id % 3 = 0 THEN 'Thoả thuận' ELSE concat((doc_id % 60 + 5)::VARCHAR, ' - ', (doc_id % 60 + 5) * 2, ' triệu') END"
 BLANKS = ", ".join(
     f"'' AS {f}" for f in fv.RESULT_FIELDS if f not in ("title", "company", "locations", "salary", "url")
 )

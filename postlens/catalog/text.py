@@ -169,7 +169,7 @@ def salary_sort(spark, sf_dir):
     return rank_many(rows, [F.col("sort_value").desc(), F.col("url").asc()], "position")
 
 
-MESSAGE = "concat(role, CASE turn % 5 WHEN 0 THEN ' cho tôi 2 job lương cao nhất' WHEN 1 THEN ' kiếm job data analyst' " \
+MESSAGE = "concat(CASE WHEN conv_id % 2 = 0 THEN role ELSE '' END, CASE turn % 5 WHEN 0 THEN ' cho tôi 2 job lương cao nhất' WHEN 1 THEN ' kiếm job data analyst' " \
     "WHEN 2 THEN ' top 7 highest salary' WHEN 3 THEN ' hai việc lương cao' ELSE ' ba job' END)"
 COUNT_SQL = "coalesce(" + ", ".join(
     [f"try_cast(nullif(regexp_extract(t, '{p}', 1), '') AS INTEGER)" for p in fv.COUNT_PATTERNS]
