@@ -225,9 +225,7 @@ def recent_turns(spark, sf_dir):
     return _recent(spark, sf_dir).withColumn("seq", F.col("seq").cast("bigint"))
 
 
-# The postings of a language, ten at most, numbered by their id: a bounded response without a ranking of vectors.
-NUMBERED = f"""SELECT * FROM (SELECT lang AS query_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS position,
-  r.* FROM documents d JOIN ({RESULT_SQL}) r ON r.job_id = d.doc_id::VARCHAR) WHERE position <= 10"""
+NUMBERED = f"SELECT f.query_id, f.position, r.* FROM ({RETRIEVE}) f JOIN ({RESULT_SQL}) r ON r.job_id = f.job_id"
 BLOCK = """concat('[', position, '] ', title, '\nCompany: ', company, '\nSource: \nLocation: ', locations,
   '\nCategory: \nExperience:  / \nWork:  / \nSalary: ', salary, ' ()\nPosted: \nURL: ', url, '\nContent: ', document)""".replace(
     "'\\n", "E'\\n"
@@ -235,49 +233,31 @@ BLOCK = """concat('[', position, '] ', title, '\nCompany: ', company, '\nSource:
 CONTEXT = f"SELECT query_id, string_agg({BLOCK}, chr(10) || chr(10) ORDER BY position) AS context FROM ({NUMBERED}) GROUP BY query_id"
 
 
-def _numbered(spark, sf_dir):
-    from pyspark.sql import Window
-
-    from postlens.operators.keys import top_per_key
-
-    documents = table(spark, sf_dir, "documents").select(F.col("lang").alias("query_id"), "doc_id")
-    few = top_per_key(documents, ["query_id"], [F.col("doc_id").asc()], 10)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("doc_id"))
-    few = few.select("query_id", F.col("doc_id").cast("string").alias("job_id"), place.alias("position"))
-    records = retrieval.result_records(_jobs(spark, sf_dir).select("job_id", "document", "metadata"))
-    return few.join(records, "job_id")
-
-
 @query("prompt_context", CONTEXT)
 def prompt_context(spark, sf_dir):
-    return retrieval.build_context(_numbered(spark, sf_dir))
+    return retrieval.build_context(_results(spark, sf_dir))
 
 
 PROMPT = f"""SELECT r.query_id, r.user_id, concat('{retrieval.INSTRUCTIONS}', E'\n\nConversation history:\n',
     coalesce(h.history, 'No prior messages.'), E'\n\nRetrieved job context:\n', coalesce(c.context, 'No retrieved jobs.'),
     E'\n\nUser question:\n', r.message, E'\n\nAnswer:') AS prompt
-  FROM (SELECT CASE turn WHEN 0 THEN 'en' WHEN 1 THEN 'fr' ELSE 'none' END AS query_id, (conv_id + turn)::VARCHAR AS user_id,
-        text AS message FROM conversations) r LEFT JOIN ({CONTEXT}) c ON c.query_id = r.query_id
+  FROM (SELECT conv_id || '-' || turn AS query_id, conv_id::VARCHAR AS user_id, {MESSAGE} AS message FROM conversations) r LEFT JOIN ({CONTEXT}) c ON c.query_id = r.query_id
   LEFT JOIN (SELECT user_id, string_agg(role || ': ' || message, chr(10) ORDER BY seq) AS history FROM ({RECENT}) GROUP BY 1) h
     ON h.user_id = r.user_id"""
 
 
 @query("prompt_full", PROMPT)
 def prompt_full(spark, sf_dir):
-    talk = table(spark, sf_dir, "conversations")
-    asks = talk.select(
-        F.when(F.col("turn") == 0, "en").when(F.col("turn") == 1, "fr").otherwise("none").alias("query_id"),
-        (F.col("conv_id") + F.col("turn")).cast("string").alias("user_id"),
-        F.col("text").alias("message"),
-    )
-    return retrieval.build_prompts(asks, _numbered(spark, sf_dir), _recent(spark, sf_dir))
+    """End to end: plan, search or scan, records, context, history, prompt."""
+    asks = _requests(spark, sf_dir).select("query_id", "user_id", "message")
+    return retrieval.build_prompts(asks, _results(spark, sf_dir), _recent(spark, sf_dir))
 
 
-@query("retrieve_prompts")
+@query("retrieve_prompts", PROMPT.replace("document)", "document[1:1200])"))
 def retrieve_prompts(spark, sf_dir):
-    """End to end: plan, search or scan, records, context, history, prompt."""
+    """The same with documents cut to the length that fits a small model's context."""
     asks = _requests(spark, sf_dir).select("query_id", "user_id", "message")
-    return retrieval.build_prompts(asks, _results(spark, sf_dir), _recent(spark, sf_dir))
+    return retrieval.build_prompts(asks, _results(spark, sf_dir), _recent(spark, sf_dir), document_chars=fv.CONTEXT_DOCUMENT_CHARS)
 
 
 @query(
@@ -286,7 +266,7 @@ def retrieve_prompts(spark, sf_dir):
         E'\nLocation: ', locations, E'\nExperience: Not specified\nLink: ', url) AS line FROM ({NUMBERED})""",
 )
 def result_lines(spark, sf_dir):
-    return retrieval.result_lines(_numbered(spark, sf_dir)).select("query_id", F.col("position").cast("bigint").alias("position"), "line")
+    return retrieval.result_lines(_results(spark, sf_dir)).select("query_id", F.col("position").cast("bigint").alias("position"), "line")
 
 
 # ---- audit ---------------------------------------------------------------------------------
