@@ -145,7 +145,8 @@ def test_context_cuts_the_document_when_asked(spark):
 def test_result_lines_and_alerts(spark):
     df = spark.createDataFrame([(1, "Dev", "Acme", "https://x"), (11, "Late", "", "")], "position int, title string, company string, url string")
     df = df.withColumns({"salary": F.lit(""), "locations": F.lit(None).cast("string"), "experience_level": F.lit("Senior")})
-    got = retrieval.result_lines(df).collect()
+    assert retrieval.result_lines(df).count() == 2
+    got = retrieval.result_lines(df, n=fv.RESULT_LINES).collect()
     assert len(got) == 1
     assert got[0]["line"] == (
         "1. **Dev** - Acme\nSalary: Not specified\nLocation: Unknown location\nExperience: Senior\nLink: https://x"
