@@ -2,10 +2,12 @@
 
 A document's set of word shingles is hashed once; its sketch keeps the `SKETCH` smallest hashes. Documents with equal
 sets form a class first, so copies cost one row. Inverted lists over the retained values generate overlaps: a list's
-key is two neighbouring values of the first `KEYED` of a sketch. A list of more than `LIST` classes is split by
-longer runs, of four values of the whole sketch, and if it is still longer, into random sublists whose members are
-also paired with the list's smallest class; every list has its own sublists. Overlaps are filtered by the similarity
-that the union sketch estimates, four standard errors below the limit, and links are confirmed on the full sets.
+key is two neighbouring values of the first `KEYED` of a sketch; a list of more than `LIST` classes is split by
+longer runs, of four values of the whole sketch, and if it is still longer, into random sublists, each list into its
+own. Every member is first paired with its list's smallest class. What that links is one component, and then only
+members of one list that are in different components are paired, so a group of thousands of near copies costs a few
+pairs a member. Overlaps are filtered by the similarity that the union sketch estimates, four standard errors below
+the limit, and links are confirmed on the full sets.
 
 What can be missed: two sets at the limit of 0.75 share no such key with a probability below 1e-8 (none if the sets
 are no larger than the sketch), below 1e-5 if all their lists have to be split; and in a list of thousands that are
@@ -18,7 +20,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +30,7 @@ from postlens.llm.words import Words, mix, range_hashes, run_hashes, split_words
 from postlens.session import materialise
 
 SHINGLE, PERCENT = 5, 75
-SKETCH, KEYED, SHORT_RUN, LONG_RUN, LIST = 64, 33, 2, 4, 40
+SKETCH, KEYED, SHORT_RUN, LONG_RUN, LIST, SUBLIST = 64, 33, 2, 4, 40, 8
 ESTIMATED = 32
 RESULT = ("n_shingles", "component_id", "kept")
 _SALT = np.uint64(0xA0761D6478BD642F)
@@ -87,28 +89,45 @@ def _keys(classes: DataFrame, run: int, values: int) -> DataFrame:
     return classes.filter(F.size("_sketch") >= run).select("class", F.explode(keyed).alias("key"))
 
 
-def _pairs_of_lists(members: DataFrame) -> DataFrame:
-    """All pairs (a < b) of each list of (key, class)."""
-    lists = members.groupBy("key").agg(F.array_sort(F.collect_set("class")).alias("c"))
-    pairs = F.flatten(
-        F.transform("c", lambda x, i: F.transform(F.slice(F.col("c"), i + 2, F.size("c")), lambda y: F.struct(x.alias("a"), y.alias("b"))))
-    )
-    return lists.filter(F.size("c") > 1).select(F.inline(pairs))
-
+def inverted_lists(classes: DataFrame) -> DataFrame:
+    """(key, class, leader): the members of every list of at least two classes; the leader is a list's smallest class.
 
-def overlaps(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of classes that share a list."""
+    Members of a list that is split have the leader of the whole list.
+    """
     keys = materialise(_keys(classes, SHORT_RUN, KEYED), "sketch-keys")
-    sizes = materialise(keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "list-sizes")
-    short = keys.join(sizes.filter(F.col("size") <= LIST), "key").select("key", "class")
-    crowded = keys.join(sizes.filter(F.col("size") > LIST), "key").select("class").distinct()
+    lists = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("leader")).filter("size > 1")
+    lists = materialise(lists, "short-lists")
+    short = keys.join(lists.filter(F.col("size") <= LIST), "key").select("key", "class", "leader")
+    crowded = keys.join(lists.filter(F.col("size") > LIST).select("key"), "key").select("class").distinct()
     longer = materialise(_keys(classes.join(crowded, "class", "left_semi"), LONG_RUN, SKETCH), "long-keys")
     lists = longer.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("leader")).filter("size > 1")
-    split = longer.join(lists, "key").withColumn("parts", F.ceil(F.col("size") / LIST))
-    sublist = F.when(F.col("parts") == 1, F.col("key")).otherwise(F.xxhash64("key", F.pmod(F.xxhash64("key", "class"), F.col("parts"))))
-    split = materialise(split.select(sublist.alias("key"), "class", "leader", "parts"), "sublists")
-    led = split.filter("parts > 1 AND class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b"))
-    return _pairs_of_lists(short).union(_pairs_of_lists(split.select("key", "class"))).union(led).distinct()
+    part = F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("size") / SUBLIST))
+    sublist = F.when(F.col("size") <= LIST, F.col("key")).otherwise(F.xxhash64("key", part))
+    return materialise(short.union(longer.join(lists, "key").select(sublist.alias("key"), "class", "leader")), "lists")
+
+
+def led_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of a list's leader and each other member: as many as there are members at most."""
+    return members.filter("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
+
+
+def _pair(one: Column, two: Column) -> Column:
+    return F.struct(one["class"].alias("a"), two["class"].alias("b"), one["component"].alias("c_a"), two["component"].alias("c_b"))
+
+
+def pairs_between(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of members of one list that are in different components by now, c_a and c_b."""
+    own = found.select(F.col("node").alias("class"), "component")
+    placed = members.join(own, "class", "left").select("key", "class", F.coalesce("component", "class").alias("component"))
+    lists = placed.groupBy("key").agg(
+        F.array_sort(F.collect_set(F.struct("class", "component"))).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+
+    def with_later(one, at):
+        others = F.filter(F.slice(F.col("c"), at + 2, F.size("c")), lambda two: two["component"] != one["component"])
+        return F.transform(others, lambda two: _pair(one, two))
+
+    return lists.filter("x <> y").select(F.inline(F.flatten(F.transform("c", with_later)))).distinct()
 
 
 def _estimate(a: str, b: str):
@@ -118,7 +137,7 @@ def _estimate(a: str, b: str):
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, estimate) of the pairs that the union sketch does not rule out."""
+    """The pairs that the union sketch does not rule out, with their estimate."""
     error = (percent / 100 * (1 - percent / 100) / ESTIMATED) ** 0.5
     least = percent / 100 - 4 * error
     # Flipping the sign bit makes signed order the order of unsigned numbers, in which the smallest were kept.
@@ -126,7 +145,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     side = lambda name: classes.select(F.col("class").alias(name), F.col("_n").alias(f"n_{name}"), small.alias(f"s_{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    return both.filter(sizes).select("a", "b", _estimate("s_a", "s_b").alias("estimate")).filter(F.col("estimate") >= least)
+    return both.filter(sizes).select(*pairs.columns, _estimate("s_a", "s_b").alias("estimate")).filter(F.col("estimate") >= least)
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -145,6 +164,10 @@ def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: st
     return found.mapInArrow(same, "class long, text binary").groupBy("class").agg(F.first("text").alias("text"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     side = lambda name: texts.select(F.col("class").alias(name), F.col("text").alias(f"t_{name}"))
@@ -199,18 +222,21 @@ def near_duplicates(
     own = ["_n", "_sig_a", "_sig_b"]
     classes = sketched.filter("_n > 0").groupBy(*own).agg(F.min("_id").alias("id"), F.first("_sketch").alias("_sketch"))
     classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    pairs = materialise(estimated(overlaps(classes), classes, percent), "overlaps")
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    texts = materialise(_texts_of(docs, classes, wanted, id_col, text_col), "texts")
-    links = None
-    found = pairs.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
-    for last in (False, False, True):
-        left = materialise(_between(pairs, found), "left")
-        if left.isEmpty():
-            break
-        fresh = materialise(confirmed(left if last else _promising(left), texts, percent), "confirmed")
-        links = fresh if links is None else links.union(fresh)
+    members = inverted_lists(classes)
+    pairs = materialise(estimated(led_pairs(members), classes, percent), "led")
+    texts = materialise(_texts_of(docs, classes, _ends(pairs), id_col, text_col), "texts")
+    links = materialise(confirmed(pairs, texts, percent), "links")
+    found = components(links)
+    left = materialise(estimated(pairs_between(members, found), classes, percent), "left")
+    if not left.isEmpty():
+        wanted = _ends(left).join(texts, "class", "left_anti")
+        texts = texts.union(materialise(_texts_of(docs, classes, wanted, id_col, text_col), "texts"))
+        links = links.union(materialise(confirmed(_promising(left), texts, percent), "links"))
         found = components(links)
+        left = materialise(_between(left, found), "left")
+        if not left.isEmpty():
+            links = links.union(materialise(confirmed(left, texts, percent), "links"))
+            found = components(links)
     smallest = classes.join(found, classes["class"] == found["node"], "left").select(
         *own, "id", F.coalesce("component", "class").alias("component")
     )
