@@ -81,11 +81,12 @@ def exact_duplicates(
     """
     id_name, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     kept_columns = without(docs, RESULT + _WORK).columns
-    wanted = kept_columns if carry is None else [c for c in kept_columns if c in (*carry, id_col)]
+    names = kept_columns if carry is None else [c for c in kept_columns if c in (*carry, id_col)]
+    wanted = [F.col(f"`{c}`") for c in names]
     base = materialise(
         docs.select(
-            *[F.col(f"`{c}`") for c in wanted],
-            *([] if id_col in wanted else [id_name]),
+            *wanted,
+            *([] if id_col in names else [id_name]),
             F.sha2(normalised(text), 256).alias("_key"),
             F.char_length(F.coalesce(text.cast("string"), F.lit(""))).alias("_points"),
             F.monotonically_increasing_id().alias("_row"),
@@ -103,6 +104,7 @@ def exact_duplicates(
     again = flagged.filter("_maybe")
     order = F.struct(-F.col("_points"), id_name.isNull(), id_name.alias("id"), F.col("_row").alias("row"))
     groups = again.groupBy("_key").agg(F.count("*").alias("group_size"), F.min(order).alias("_best"))
+    groups = materialise(groups, "dedup-groups")  # so that the join is dealt on its own and a hot key's rows can be split
     grouped = again.join(groups, "_key").select(
         *wanted,
         F.col("_best.id").alias("keep_id"),
