@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.llm.frames import without
+from postlens.session import materialise
 
 TEMPERATURE, EPOCHS, SEED = 0.7, 1.0, 20240607
+#: Sources whose rates are broadcast to the documents; more of them are joined by a shuffle.
+FEW_SOURCES = 5_000
 #: A larger rate is drawn as a sum of several draws, since exp(-rate) would vanish.
 LARGEST_DRAW = 256.0
 RESULT = ("replica", "shuffle_key")
@@ -78,6 +81,9 @@ def mix_sources(
     names = [c for c in without(docs, RESULT).columns if carry is None or c in carry]
     parts = F.greatest(F.ceil(F.col("rate") / LARGEST_DRAW), F.lit(1)).cast("int")
     steps = rates.select(F.col("source").alias("_source"), parts.alias("_parts"), poisson_steps(F.col("rate") / parts).alias("_steps"))
+    steps = materialise(steps, "rates")
+    if steps.count() <= FEW_SOURCES:
+        steps = F.broadcast(steps)
     source, name = F.col(f"`{source_col}`"), F.col(f"`{id_col}`")
     joined = docs.select(*[F.col(f"`{c}`") for c in names], name.alias("_id"), source.alias("_of")).join(
         steps, F.col("_of").eqNullSafe(F.col("_source"))
