@@ -4,14 +4,15 @@ A document's set of word shingles is hashed once; its sketch keeps the `SKETCH`
 sets form a class first, so copies cost one row. Inverted lists over the retained values generate overlaps: a list's
 key is two neighbouring values of the first `KEYED` of a sketch; a list of more than `LIST` classes is split by
 longer runs, of four values of the whole sketch, and if it is still longer, into random sublists, each list into its
-own. Every member is first paired with its list's smallest class. What that links is one component, and then only
+own. Every member is first paired with its list's leader, the one in the middle. What that links is one component, and then only
 members of one list that are in different components are paired, so a group of thousands of near copies costs a few
 pairs a member. Overlaps are filtered by the similarity that the union sketch estimates, four standard errors below
 the limit, and links are confirmed on the full sets.
 
 What can be missed: two sets at the limit of 0.75 share no such key with a probability below 1e-8 (none if the sets
-are no larger than the sketch), below 1e-5 if all their lists have to be split; and in a list of thousands that are
-all alike, a link between two members that neither share a sublist nor are connected through others.
+are no larger than the sketch), below 1e-5 if all their lists have to be split; and in lists of more than `LIST`
+classes a link between two members that are not connected through leaders, never share a sublist (every pair of
+similar sets has about twenty such lists, each with its own sublists) and have no other path.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from postlens.llm.words import Words, mix, range_hashes, run_hashes, split_words
 from postlens.session import materialise
 
 SHINGLE, PERCENT = 5, 75
-SKETCH, KEYED, SHORT_RUN, LONG_RUN, LIST, SUBLIST = 64, 33, 2, 4, 40, 8
-ESTIMATED = 32
+SKETCH, KEYED, SHORT_RUN, LONG_RUN, LIST = 64, 33, 2, 4, 40
+ESTIMATED = SKETCH
 RESULT = ("n_shingles", "component_id", "kept")
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -90,25 +91,29 @@ def _keys(classes: DataFrame, run: int, values: int) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(key, class, leader): the members of every list of at least two classes; the leader is a list's smallest class.
+    """(key, class, leader): the members of every list of at least two classes.
 
-    Members of a list that is split have the leader of the whole list.
+    A list's leader is the member that shares most lists with others, counting members: of a group of near copies the
+    one in the middle. Members of a list that is split have the leader of the whole list.
     """
     keys = materialise(_keys(classes, SHORT_RUN, KEYED), "sketch-keys")
-    lists = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("leader")).filter("size > 1")
-    lists = materialise(lists, "short-lists")
-    short = keys.join(lists.filter(F.col("size") <= LIST), "key").select("key", "class", "leader")
-    crowded = keys.join(lists.filter(F.col("size") > LIST).select("key"), "key").select("class").distinct()
+    sizes = materialise(keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "list-sizes")
+    short = keys.join(sizes.filter(F.col("size") <= LIST), "key").select("key", "class", "size")
+    crowded = keys.join(sizes.filter(F.col("size") > LIST).select("key"), "key").select("class").distinct()
     longer = materialise(_keys(classes.join(crowded, "class", "left_semi"), LONG_RUN, SKETCH), "long-keys")
-    lists = longer.groupBy("key").agg(F.count("*").alias("size"), F.min("class").alias("leader")).filter("size > 1")
-    part = F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("size") / SUBLIST))
+    sizes = longer.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = materialise(short.union(longer.join(sizes, "key").select("key", "class", "size")), "list-members")
+    shared = members.groupBy("class").agg(F.sum("size").alias("shared"))
+    leaders = members.join(shared, "class").groupBy("key").agg(F.max(F.struct("shared", "class"))["class"].alias("leader"))
+    part = F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("size") / LIST))
     sublist = F.when(F.col("size") <= LIST, F.col("key")).otherwise(F.xxhash64("key", part))
-    return materialise(short.union(longer.join(lists, "key").select(sublist.alias("key"), "class", "leader")), "lists")
+    return materialise(members.join(leaders, "key").select(sublist.alias("key"), "class", "leader"), "lists")
 
 
 def led_pairs(members: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of a list's leader and each other member: as many as there are members at most."""
-    return members.filter("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
+    pair = [F.least("leader", "class").alias("a"), F.greatest("leader", "class").alias("b")]
+    return members.filter("class <> leader").select(*pair).distinct()
 
 
 def _pair(one: Column, two: Column) -> Column:
