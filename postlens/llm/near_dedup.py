@@ -1,22 +1,24 @@
 """Near-duplicate detection with bottom-k sketches from one hash function.
 
 A document's set of word shingles is hashed once; its sketch keeps the `SKETCH` smallest hashes. Documents with equal
-sets form a class first, so copies cost one row. Inverted lists over the retained values generate overlaps: a list's
-key is two neighbouring values of the first `KEYED` of a sketch; a list of more than `LIST` classes is split by
-longer runs, of four values of the whole sketch, and if it is still longer, into random sublists, each list into its
-own. Every member is first paired with its list's leader, the one in the middle. What that links is one component, and then only
-members of one list that are in different components are paired, so a group of thousands of near copies costs a few
-pairs a member. Overlaps are filtered by the similarity that the union sketch estimates, four standard errors below
-the limit, and links are confirmed on the full sets.
-
-What can be missed: two sets at the limit of 0.75 share no such key with a probability below 1e-8 (none if the sets
-are no larger than the sketch), below 1e-5 if all their lists have to be split; and in lists of more than `LIST`
-classes a link between two members that are not connected through leaders, never share a sublist (every pair of
-similar sets has about twenty such lists, each with its own sublists) and have no other path.
+sets form a class first, so copies cost one row. Inverted lists over the retained values generate overlaps: two similar
+sets share a known number of retained values (`least_shared`), so they share one of the rarest values of each, as many
+as leave no room for that number in the others. A list is a value among the rarest ones of its members.
+
+Every class is first paired with one leader, the one in the middle of its largest lists. What that links is one
+component, and then pairs are made across components only: with the leader of every list, and at last all members of
+every list, so a group of thousands of near copies costs a few pairs a member and no list is cut. A list of more than
+`LIST` classes is dealt into blocks, each pair of blocks being a task's group, which hands out the pairs that share as
+many values as they have to. Pairs that the union sketch rules out are dropped and links are confirmed on the full sets.
+
+What can be missed: nothing if the sets are small (up to about 110 shingles at a limit of 0.75, the number of shared
+values is then certain); otherwise a pair at the limit with a probability below `MISS` = 1e-8 in all, since the keys,
+the blocks and the filter ask for the same number of shared values of the union sketch.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -31,8 +33,7 @@ from postlens.llm.words import Words, mix, range_hashes, run_hashes, split_words
 from postlens.session import materialise
 
 SHINGLE, PERCENT = 5, 75
-SKETCH, KEYED, SHORT_RUN, LONG_RUN, LIST = 64, 33, 2, 4, 40
-ESTIMATED = SKETCH
+SKETCH, LIST, BLOCK, MISS = 64, 40, 256, 1e-8
 RESULT = ("n_shingles", "component_id", "kept")
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -83,31 +84,55 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str])
     return rows.mapInArrow(sketch, schema)
 
 
-def _keys(classes: DataFrame, run: int, values: int) -> DataFrame:
-    """(class, key): hashes of all runs of neighbouring values among the first ones of each sketch."""
-    places = F.sequence(F.lit(1), F.least(F.size("_sketch"), F.lit(values)) - (run - 1))
-    keyed = F.transform(places, lambda i: F.xxhash64(F.slice("_sketch", i, run)))
-    return classes.filter(F.size("_sketch") >= run).select("class", F.explode(keyed).alias("key"))
+def sampled_least(percent: int) -> int:
+    """Number of values of a whole union sketch that similar sets share but for a probability below `MISS` (binomial,
+    which is above the hypergeometric one)."""
+    share, below, shared = percent / 100, 0.0, 0
+    while shared < SKETCH:
+        below += math.comb(SKETCH, shared) * share**shared * (1 - share) ** (SKETCH - shared)
+        if below >= MISS:
+            break
+        shared += 1
+    return shared
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(key, class, leader): the members of every list of at least two classes.
+def least_shared(n: Column, percent: int) -> Column:
+    """Number of retained values that a set of n shingles shares with any similar set.
 
-    A list's leader is the member that shares most lists with others, counting members: of a group of near copies the
-    one in the middle. Members of a list that is split have the leader of the whole list.
+    A set has ceil(percent * n) in common with it. Their union has n / percent values at most; those of it beyond the
+    `SKETCH` smallest may all be common ones. Only for a set larger than its sketch chance has to be counted on.
     """
-    keys = materialise(_keys(classes, SHORT_RUN, KEYED), "sketch-keys")
+    common = F.ceil(n * percent / 100 - 1e-9)
+    certain = SKETCH - F.floor(n * (100 - percent) / percent + 1e-9)
+    return F.when(n <= SKETCH, F.least(common, certain)).otherwise(F.greatest(certain, F.lit(sampled_least(percent)))).cast("int")
+
+
+def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """(key, class, size, leader, weight): the members of every list of at least two classes, and the list's size.
+
+    A list's leader is the member that shares most lists with others, counting members (its weight): of a group of near
+    copies the one in the middle.
+    """
+    values = materialise(classes.select("class", F.explode("_sketch").alias("key")), "sketch-values")
+    sizes = materialise(values.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "value-sizes")
+    repeated = values.join(sizes, "key").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("size", "key"))).alias("v"))
+    kept = F.size("_sketch")
+    # Of the rarest values, those in no other sketch come first and need no list.
+    taken = kept - least_shared(F.col("_n"), percent) + 1 - (kept - F.size("v"))
+    rarest = repeated.join(classes.select("class", "_n", "_sketch"), "class").filter(taken > 0)
+    keys = materialise(rarest.select("class", F.explode(F.slice("v", 1, taken)["key"]).alias("key")), "sketch-keys")
     sizes = materialise(keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "list-sizes")
-    short = keys.join(sizes.filter(F.col("size") <= LIST), "key").select("key", "class", "size")
-    crowded = keys.join(sizes.filter(F.col("size") > LIST).select("key"), "key").select("class").distinct()
-    longer = materialise(_keys(classes.join(crowded, "class", "left_semi"), LONG_RUN, SKETCH), "long-keys")
-    sizes = longer.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    members = materialise(short.union(longer.join(sizes, "key").select("key", "class", "size")), "list-members")
+    members = materialise(keys.join(sizes, "key").select("key", "class", "size"), "list-members")
     shared = members.groupBy("class").agg(F.sum("size").alias("shared"))
-    leaders = members.join(shared, "class").groupBy("key").agg(F.max(F.struct("shared", "class"))["class"].alias("leader"))
-    part = F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("size") / LIST))
-    sublist = F.when(F.col("size") <= LIST, F.col("key")).otherwise(F.xxhash64("key", part))
-    return materialise(members.join(leaders, "key").select(sublist.alias("key"), "class", "leader"), "lists")
+    leaders = members.join(shared, "class").groupBy("key").agg(F.max(F.struct("shared", "class")).alias("l"))
+    named = leaders.select("key", F.col("l.class").alias("leader"), F.col("l.shared").alias("weight"))
+    return materialise(members.join(named, "key").select("key", "class", "size", "leader", "weight"), "lists")
+
+
+def first_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of each class and the leader of most weight among its lists: one a class at most."""
+    best = members.filter("class <> leader").groupBy("class").agg(F.max(F.struct("weight", "leader"))["leader"].alias("leader"))
+    return led_pairs(best)
 
 
 def led_pairs(members: DataFrame) -> DataFrame:
@@ -120,10 +145,68 @@ def _pair(one: Column, two: Column) -> Column:
     return F.struct(one["class"].alias("a"), two["class"].alias("b"), one["component"].alias("c_a"), two["component"].alias("c_b"))
 
 
-def pairs_between(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of members of one list that are in different components by now, c_a and c_b."""
+def placed_between(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, with their component by now, of the lists that have members of several components."""
     own = found.select(F.col("node").alias("class"), "component")
-    placed = members.join(own, "class", "left").select("key", "class", F.coalesce("component", "class").alias("component"))
+    placed = members.drop("component").join(own, "class", "left").select(
+        "key", "class", "size", "leader", F.coalesce("component", "class").alias("component")
+    )
+    placed = materialise(placed, "placed")
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    return materialise(placed.join(several.select("key"), "key"), "lists-between")
+
+
+def led_between(placed: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of a list's leader and each member that is in another component by now."""
+    of_leader = placed.filter("class = leader").select("key", F.col("component").alias("c_l"))
+    return led_pairs(placed.join(of_leader, "key").filter("component <> c_l"))
+
+
+def pairs_between(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) of members of one list that are in different components by now, c_a and c_b.
+
+    Of long lists only the pairs that share as many retained values as similar sets do.
+    """
+    short = _pairs_of_short(placed.filter(F.col("size") <= LIST))
+    return short.union(_pairs_of_long(placed.filter(F.col("size") > LIST), classes, percent)).distinct()
+
+
+def _pairs_of_long(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Each pair of blocks of a list is a group of its own, of twice BLOCK members or so."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = placed.withColumn("own", F.pmod(F.xxhash64("key", "class"), blocks).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    sets = classes.select("class", "_sketch", least_shared(F.col("_n"), percent).alias("least"))
+    dealt = dealt.join(sets, "class").select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "component", "least", "_sketch"
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        own, node, component, least = (table[c].to_numpy() for c in ("own", "class", "component", "least"))
+        sketches = table["_sketch"].combine_chunks()
+        counts = np.diff(sketches.offsets.to_numpy())
+        values, column, seen = np.unique(sketches.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(node)), counts)
+        twice = seen[column] > 1
+        row, column = row[twice], (np.cumsum(seen > 1) - 1)[column[twice]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        shared = np.zeros((len(node), len(node)), dtype=np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+            first, last = np.searchsorted(column, [start, start + 2048])
+            held = np.zeros((len(node), 2048), dtype=np.float32)
+            held[row[first:last], column[first:last] - start] = 1
+            shared += held @ held.T
+        enough = shared >= np.maximum(least[:, None], least[None, :])
+        apart = component[:, None] != component[None, :]
+        across = (own[:, None] != own[None, :]) | (own.min() == own.max())
+        x, y = np.nonzero(enough & apart & across & (node[:, None] < node[None, :]))
+        return pa.table({"a": node[x], "b": node[y], "c_a": component[x], "c_b": component[y]})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, c_a long, c_b long")
+
+
+def _pairs_of_short(placed: DataFrame) -> DataFrame:
     lists = placed.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("class", "component"))).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")
     )
@@ -132,25 +215,19 @@ def pairs_between(members: DataFrame, found: DataFrame) -> DataFrame:
         others = F.filter(F.slice(F.col("c"), at + 2, F.size("c")), lambda two: two["component"] != one["component"])
         return F.transform(others, lambda two: _pair(one, two))
 
-    return lists.filter("x <> y").select(F.inline(F.flatten(F.transform("c", with_later)))).distinct()
-
-
-def _estimate(a: str, b: str):
-    """Similarity estimated from the smallest values of the union of two sketches."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, ESTIMATED)
-    return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
+    return lists.filter("x <> y").select(F.inline(F.flatten(F.transform("c", with_later))))
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the union sketch does not rule out, with their estimate."""
-    error = (percent / 100 * (1 - percent / 100) / ESTIMATED) ** 0.5
-    least = percent / 100 - 4 * error
+    """The pairs that the union sketch does not rule out, with the similarity estimated from it."""
     # Flipping the sign bit makes signed order the order of unsigned numbers, in which the smallest were kept.
-    small = F.transform(F.slice("_sketch", 1, ESTIMATED), lambda v: v.bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")))
+    small = F.transform("_sketch", lambda v: v.bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")))
     side = lambda name: classes.select(F.col("class").alias(name), F.col("_n").alias(f"n_{name}"), small.alias(f"s_{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    return both.filter(sizes).select(*pairs.columns, _estimate("s_a", "s_b").alias("estimate")).filter(F.col("estimate") >= least)
+    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
+    shared, of = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union)), F.size(union)
+    return both.filter(sizes).filter(shared / of >= percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / SKETCH) ** 0.5).select(*pairs.columns, (shared / of).alias("estimate"))
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -227,13 +304,17 @@ def near_duplicates(
     own = ["_n", "_sig_a", "_sig_b"]
     classes = sketched.filter("_n > 0").groupBy(*own).agg(F.min("_id").alias("id"), F.first("_sketch").alias("_sketch"))
     classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    members = inverted_lists(classes)
-    pairs = materialise(estimated(led_pairs(members), classes, percent), "led")
+    members = inverted_lists(classes, percent)
+    pairs = materialise(estimated(first_pairs(members), classes, percent), "led")
     texts = materialise(_texts_of(docs, classes, _ends(pairs), id_col, text_col), "texts")
     links = materialise(confirmed(pairs, texts, percent), "links")
     found = components(links)
-    left = materialise(estimated(pairs_between(members, found), classes, percent), "left")
-    if not left.isEmpty():
+    for pairs_of in (led_between, lambda placed: pairs_between(placed, classes, percent)):
+        members = placed_between(members, found)
+        left = materialise(estimated(pairs_of(members), classes, percent), "left")
+        if left.isEmpty():
+            continue
+        left = materialise(_between(left, found), "left")
         wanted = _ends(left).join(texts, "class", "left_anti")
         texts = texts.union(materialise(_texts_of(docs, classes, wanted, id_col, text_col), "texts"))
         links = links.union(materialise(confirmed(_promising(left), texts, percent), "links"))

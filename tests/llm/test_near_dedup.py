@@ -81,3 +81,41 @@ def test_components_of_a_chain_a_star_and_pairs(spark):
     assert len(rows) == len(found)
     assert all(found[i] == 1 for i in range(1, 41)) and all(found[100 + i] == 100 for i in range(30)) and found[500] == found[300] == 300
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def around_seven_words():
+    """A 7-word text, 499 extensions of 8 words and, for 500 more texts, unlike ones that share a shingle with it."""
+    base = "a b c d e f g".split()
+    rows = [" ".join(base)] + [" ".join([*base, f"x{i}"]) for i in range(499)]
+    rows += [" ".join([f"p{i}", f"q{i}", *base[:5], f"r{i}", f"s{i}"]) for i in range(500)]
+    return [(i + 1, t) for i, t in enumerate(rows)]
+
+
+def test_no_link_of_short_texts_is_lost_in_crowded_lists(spark):
+    docs = around_seven_words()
+    rows = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == brute(docs)
+
+
+def test_no_link_inside_boilerplate_is_lost(spark):
+    """Thousands share a passage of 40%; pairs of near copies in it are linked with nothing else."""
+    rng = random.Random(5)
+    common, docs = [f"c{k}" for k in range(60)], []
+    for i in range(1200):
+        own = [f"o{i}x{k}" for k in range(90)]
+        docs.append((2 * i + 1, " ".join(common + own)))
+        if i % 100 == 7:
+            own[rng.randrange(10, 80)] = "changed"
+            docs.append((2 * i + 2, " ".join(common + own)))
+    rows = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {i: i - 1 + i % 2 for i, _ in docs}
+
+
+def test_a_chain_of_2000_versions_is_one_component(spark):
+    """Versions share a passage of a third; each is similar to a few neighbours only."""
+    common, words = [f"c{k}" for k in range(20)], [f"v{k}" for k in range(2 * 2000 + 40)]
+    docs = [(i + 1, " ".join(common + words[2 * i : 2 * i + 40])) for i in range(2000)]
+    near = shingles(docs[0][1]), shingles(docs[1][1]), shingles(docs[40][1])
+    assert 100 * len(near[0] & near[1]) >= 75 * len(near[0] | near[1]) and 100 * len(near[0] & near[2]) < 75 * len(near[0] | near[2])
+    rows = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.component_id for r in rows} == {1}
