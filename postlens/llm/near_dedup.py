@@ -227,7 +227,9 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     shared, of = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union)), F.size(union)
-    return both.filter(sizes).filter(shared / of >= percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / SKETCH) ** 0.5).select(*pairs.columns, (shared / of).alias("estimate"))
+    # A union of fewer values is whole, and so are both sets.
+    least = F.when(of < SKETCH, of * percent / 100 - 1e-9).otherwise(F.lit(sampled_least(percent)))
+    return both.filter(sizes).filter(shared >= least).select(*pairs.columns, (shared / of).alias("estimate"))
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -119,3 +119,14 @@ def test_a_chain_of_2000_versions_is_one_component(spark):
     assert 100 * len(near[0] & near[1]) >= 75 * len(near[0] | near[1]) and 100 * len(near[0] & near[2]) < 75 * len(near[0] | near[2])
     rows = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.component_id for r in rows} == {1}
+
+
+def test_large_sets_at_the_limit_pass_the_filter(spark):
+    """Of sketches that share 27 to 34 values none is ruled out (34 values were 4 standard errors)."""
+    assert near_dedup.sampled_least(75) == 27
+    left, right = list(range(64)), list(range(30)) + list(range(64, 98))
+    flip = lambda values: [v - (1 << 63) + 0 if v >= 1 << 63 else v for v in values]
+    schema = "class long, _n long, _sketch array<long>"
+    classes = spark.createDataFrame([(1, 1000, flip(left)), (2, 1000, flip(right))], schema)
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    assert near_dedup.estimated(pairs, classes, 75).count() == 1
