@@ -16,15 +16,16 @@ from postlens.llm.near_dedup import drop_near_duplicates
 from postlens.llm.token_shards import materialise_order
 from postlens.session import materialise
 
-#: A document stays if one language has at least this share of its words.
-LEAST_SHARE = 0.5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labels teach; texts without letters and mixtures of languages go."""
+    """Documents with words in languages that the labels teach, mixtures included; texts without letters go.
+
+    Without any label there is nothing to tell languages by, and all documents stay.
+    """
     field = train_field(training_pieces(docs, "lang", "text"))
-    read = identify_languages(docs, field)
-    return read.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    if not field.labels:
+        return docs
+    return identify_languages(docs, field).filter(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

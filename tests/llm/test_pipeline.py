@@ -3,6 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -66,3 +67,18 @@ def test_empty_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf).collect() == []
+
+
+def test_language_id_keeps_mixed_documents_and_all_without_labels(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {}
+    for r in docs.filter("lang IS NOT NULL AND n_chars > 200").orderBy("doc_id").collect():
+        texts.setdefault(r.lang, " ".join(r.text.split()[:30]))
+    assert len(texts) >= 3
+    planted = spark.createDataFrame(
+        [(10**9, " ".join(texts.values()), None, "src0", 1), (10**9 + 1, "12 34 -- 56", None, "src0", 1)], docs.schema
+    )
+    read = corpus_pipeline.language_id(spark, docs.unionByName(planted), sf)
+    assert [r.doc_id for r in read.filter("doc_id >= 1000000000").collect()] == [10**9]
+    unlabelled = docs.limit(20).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, unlabelled, sf).count() == 20
