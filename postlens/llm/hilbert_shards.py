@@ -1,6 +1,7 @@
 """Sharding by a Hilbert curve over several metadata columns.
 
-Every column is quantised into equally filled cells (boundaries from one sketch over all rows), the cells of a row give
+Every column is quantised into equally filled cells (boundaries from one sketch over all rows; texts stand for their
+rank among the column's distinct values, whatever prefix they share), the cells of a row give
 its place on the curve, rows are sorted by it, and the sorted sequence is cut into runs of equal row counts. Files cut
 this way have narrow ranges in all of the columns at once, so readers prune on any of them.
 """
@@ -17,26 +18,32 @@ from pyspark.sql import types as T
 
 from postlens.llm.frames import without
 from postlens.operators.ranking import rank_many
+from postlens.session import materialise
 
 SHARDS, BITS, ACCURACY = 16, 8, 10000
 DIMENSIONS = ("lang", "source", "n_chars")
 RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-_PREFIX = 7
 
 
-def ordinal(df: DataFrame, name: str) -> Column:
-    """A number that orders like the column: texts by their first bytes, everything else by value."""
-    column = F.col(f"`{name}`")
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.conv(F.rpad(F.hex(F.substring(column.cast("binary"), 1, _PREFIX)), 2 * _PREFIX, "0"), 16, 10).cast("double")
-    return column.cast("double")
+def with_ordinals(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """`df` with a number `_o0`, `_o1`, ... for each column that orders like it: the rank of a text among the column's
+    distinct values (by bytes), anything else as it is. Only the distinct values are ranked and joined back."""
+    for i, name in enumerate(names):
+        column, own = F.col(f"`{name}`"), f"_o{i}"
+        if isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
+            values = df.select(column.cast("binary").alias("_value")).filter("_value IS NOT NULL").distinct()
+            ranked = rank_many(values, [F.col("_value")], "_place").select("_value", F.col("_place").cast("double").alias(own))
+            ranked = materialise(ranked, "ordinals")
+            df = df.join(ranked, column.cast("binary") == ranked["_value"], "left").drop(ranked["_value"])
+        else:
+            df = df.withColumn(own, column.cast("double"))
+    return df
 
 
-def boundaries(df: DataFrame, names: Sequence[str], bits: int, accuracy: int = ACCURACY) -> list[list[float]]:
-    """For each column the distinct quantiles that cut it into up to 2**bits cells of about equal size."""
+def boundaries(df: DataFrame, count: int, bits: int, accuracy: int = ACCURACY) -> list[list[float]]:
+    """For each of `count` ordinals the distinct quantiles that cut it into up to 2**bits cells of about equal size."""
     cuts = [i / 2**bits for i in range(1, 2**bits)]
-    row = df.agg(*[F.percentile_approx(ordinal(df, n), cuts, accuracy).alias(f"q{i}") for i, n in enumerate(names)]).first()
+    row = df.agg(*[F.percentile_approx(f"_o{i}", cuts, accuracy).alias(f"q{i}") for i in range(count)]).first()
     return [sorted(set(q or ())) for q in row]
 
 
@@ -73,16 +80,16 @@ def curve_index(coordinates: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def place_on_curve(df: DataFrame, names: Sequence[str], bits: int = BITS) -> Column:
-    """Curve index of each row over the named columns."""
-    cuts = boundaries(df, names, bits)
+def place_on_curve(df: DataFrame, count: int, bits: int = BITS) -> Column:
+    """Curve index of each row of a table with `count` ordinals."""
+    cuts = boundaries(df, count, bits)
 
     @F.pandas_udf(T.LongType())
     def place(*columns: pd.Series) -> pd.Series:
         points = [cells(c.to_numpy(dtype=float), q, bits) for c, q in zip(columns, cuts)]
         return pd.Series(curve_index(np.stack(points, axis=1), bits))
 
-    return place(*[ordinal(df, n) for n in names])
+    return place(*[F.col(f"_o{i}") for i in range(count)])
 
 
 def shard_by_curve(
@@ -105,11 +112,12 @@ def shard_by_curve(
     """
     text = F.col(f"`{text_col}`")
     names = [c for c in without(docs, RESULT).columns if carry is None or c in carry]
-    placed = docs.select(
+    numbered = with_ordinals(docs, dimensions)
+    placed = numbered.select(
         *[F.col(f"`{c}`") for c in names],
         F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        place_on_curve(docs, dimensions, bits).alias("_curve"),
+        place_on_curve(numbered, len(dimensions), bits).alias("_curve"),
         F.xxhash64(text).alias("_text"),
         F.col(f"`{id_col}`").alias("_id"),
     ).withColumn("size", F.col("size") + 1)

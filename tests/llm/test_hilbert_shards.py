@@ -59,3 +59,11 @@ def test_clashing_columns_files_and_empty_table(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert back.count() == 30 and back.select("shard").distinct().count() == 4
     assert shard_by_curve(docs.limit(0), ["lang"]).collect() == []
+
+
+def test_texts_with_a_common_prefix_fall_in_cells_of_their_own(spark):
+    rows = [(i, "x", f"commoncrawl-2023-{i % 20:02d}", i * 7919 % 1000) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    found = shard_by_curve(docs, ["source", "n_chars"]).toPandas()
+    spread = found.groupby("shard").agg(sources=("source", "nunique"), low=("n_chars", "min"), high=("n_chars", "max"))
+    assert len(found) == 4000 and spread.sources.mean() < 12 and (spread.high - spread.low).mean() < 600
