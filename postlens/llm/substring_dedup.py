@@ -1,10 +1,14 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against all documents.
+"""Substring deduplication by anchored blocks and window counts, standing in for a relative Lempel-Ziv parse.
+
+No greedy longest match is sought and factors have no source position: what goes is every window that occurs twice
+anywhere, which counts of equal blocks and windows tell without a source, in partial sums; a parse would have to choose
+one source among many and extend it word by word across tasks. Neighbouring repeated blocks may have different sources.
 
 The reference is every document, cut into blocks. A block is a stretch of words whose windows of `window` words share
 an anchor, their smallest run of `GRAM` words (the leftmost, compared by hash), so equal windows always lie in blocks
 with equal anchors, wherever they are. The index counts the blocks of each anchor; Spark shuffles one row a block.
 
-A document is parsed greedily into factors: neighbouring blocks that occur elsewhere as a whole form one factor, and
+A document is cut into factors: neighbouring blocks that occur elsewhere as a whole form one factor, and
 every window inside is repeated. Where a factor ends in a block that shares its anchor with others but is not equal to
 any, the repeated text may go on for some windows: those boundaries are checked window by window, by hash, against
 the blocks of the same anchor (each distinct block once, however often it occurs).
