@@ -11,6 +11,7 @@ from corpus_pipeline import ORACLE_SQL, run
 from postlens.llm.crf_language import identify_languages, train_field, training_pieces
 from postlens.llm.decontaminate import find_contamination
 from postlens.llm.exact_dedup import exact_duplicates
+from postlens.llm.filter_audit import audit_filters, document_failures
 from postlens.llm.frames import utf8
 from postlens.llm.hilbert_shards import shard_by_curve
 from postlens.llm.mixing import mix_sources, source_rates
@@ -223,6 +224,59 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    "op11_filter_audit",
+    r"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    first AS (SELECT text, min(doc_id) AS least FROM docs GROUP BY text),
+    marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+    failures AS (
+        SELECT part,
+               CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+               || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+               || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+               || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+               || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS mask,
+               coalesce(quality = 1, FALSE) AS good, coalesce(toxic = 1, FALSE) AS toxic
+        FROM docs JOIN first USING (text) LEFT JOIN marks USING (doc_id)),
+    counted AS (
+        SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+        FROM failures GROUP BY part, mask),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+    orders AS (
+        SELECT letter AS filter_order FROM letters
+        UNION ALL
+        SELECT filter_order || letter FROM orders, letters WHERE NOT contains(filter_order, letter)),
+    places AS (
+        SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+        FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders WHERE length(filter_order) = 5)),
+    audited AS (
+        SELECT part, filter_order, step, f, mask, n, good, toxic, contains(mask, f) AS fails,
+               translate(mask, before, '') <> mask AS gone
+        FROM counted, places),
+    steps AS (
+        SELECT part, filter_order, step, f,
+               coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept,
+               coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS removed,
+               coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS redundant,
+               coalesce(sum(n) FILTER (WHERE mask = f), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost,
+               coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost
+        FROM audited GROUP BY part, filter_order, step, f)
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+           CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+    FROM steps
+    """,
+)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return audit_filters(document_failures(docs, _read(spark, sf_dir, "labels")), "part", marks=("good", "toxic"))
+
+
 QUERIES["pipeline"] = run
 if ORACLE_SQL is not None:
     ORACLES["pipeline"] = ORACLE_SQL
