@@ -16,10 +16,12 @@ from postlens.llm.frames import utf8
 from postlens.llm.hilbert_shards import shard_by_curve
 from postlens.llm.mixing import mix_sources, source_rates
 from postlens.llm.near_dedup import near_duplicates
+from postlens.llm.periodic_runs import periodic_runs
 from postlens.llm.secret_scan import BASE_RULES, scan_secrets, span_text
 from postlens.llm.substring_dedup import remove_repeats
 from postlens.llm.suffix_lm import score_documents, train
 from postlens.llm.token_shards import materialise_order
+from postlens.llm.warc_zip import archive_pages, read_records, row_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -277,6 +279,62 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(document_failures(docs, _read(spark, sf_dir, "labels")), "part", marks=("good", "toxic"))
 
 
+def _planted_periods(text: Column, number: Column) -> Column:
+    """Text of which, for one id in ten, the words from the a-th on repeat the next p ones, as op12's contract has it."""
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    words, n = F.split(trimmed, "[ \t-\r]+"), F.size(F.split(trimmed, "[ \t-\r]+"))
+    g = F.floor(number / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    cycles = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.array_join(F.concat(F.slice(words, 1, a), F.slice(cycles, 1, n - a)), " ")
+    return F.when((number % 10 == 0) & (trimmed != ""), planted).otherwise(text)
+
+
+@_query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic_runs(docs, _planted_periods(F.col("text"), number), carry=["doc_id"], digest=True)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("b"), lines.alias("lines"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        (-F.col("b.s")).alias("start"),
+        F.col("b.length").alias("length"),
+        (-F.col("b.p")).alias("period"),
+        F.floor(1000 * F.col("b.length") / -F.col("b.p")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
+@_query(
+    "op13_warc_zip",
+    """
+    WITH records AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+        FROM pages),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM records)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+    FROM firsts
+    """,
+)
+def op13_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_records(archive_pages(_read(spark, sf_dir, "pages")), payloads=False)
+    return records.select(
+        row_id(F.col("record_id")).cast("bigint").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        row_id(F.col("refers_to")).cast("bigint").alias("refers_to"),
+    )
+
+
 QUERIES["pipeline"] = run
 if ORACLE_SQL is not None:
     ORACLES["pipeline"] = ORACLE_SQL
