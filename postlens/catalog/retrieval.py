@@ -104,20 +104,30 @@ def embed_documents(spark, sf_dir):
 # ---- nearest neighbours and retrieval ------------------------------------------------------
 
 
-@query(
-    "cosine_topk",
-    """SELECT query_id, item_id, distance, rank::INTEGER AS rank FROM (
+NEAREST_SQL = """SELECT query_id, item_id, distance, rank::INTEGER AS rank FROM (
          SELECT query_id, item_id, abs(round(whole, 6)) AS distance,
            row_number() OVER (PARTITION BY query_id ORDER BY whole, item_id) AS rank FROM (
            SELECT q.vec_id AS query_id, i.vec_id AS item_id,
              1 - list_cosine_similarity(q.embedding::DOUBLE[], i.embedding::DOUBLE[]) AS whole
-           FROM embeddings q CROSS JOIN embeddings i)) WHERE rank <= 5""",
-)
-def nearest(spark, sf_dir):
+           FROM embeddings q CROSS JOIN embeddings i)) WHERE rank <= 5"""
+
+
+def _neighbours(spark, sf_dir, **how):
     vectors = table(spark, sf_dir, "embeddings")
     queries = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
     items = vectors.select(F.col("vec_id").alias("item_id"), "embedding")
-    return cosine_topk(queries, items, 5)
+    return cosine_topk(queries, items, 5, **how)
+
+
+@query("cosine_topk", NEAREST_SQL)
+def nearest(spark, sf_dir):
+    return _neighbours(spark, sf_dir)
+
+
+@query("cosine_topk_index", NEAREST_SQL)
+def nearest_by_index(spark, sf_dir):
+    """The same neighbours through a metric index, in blocks of 100 rows."""
+    return _neighbours(spark, sf_dir, cells=16, block_rows=100)
 
 
 def _jobs(spark, sf_dir):
