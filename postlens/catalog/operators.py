@@ -351,6 +351,51 @@ def category_regex_join(spark, sf_dir):
     return jobs.select("url", F.col("job_category").alias("category"))
 
 
+@query("category_seed_join", TITLE.replace("m.target AS", "coalesce(m.target, 'Others') AS"))
+def category_seed_join(spark, sf_dir):
+    """The categories from a seed file, as the build reads it."""
+    jobs = silver.with_category(fx.postings(spark, sf_dir).select("url", "title"), patterns=_seeds(spark)["job_category_mapping"])
+    return jobs.select("url", F.col("job_category").alias("category"))
+
+
+def _seeds(spark):
+    """The mapping seeds, written as files and read back."""
+    folder = fresh_path(spark, "mappings")
+    for name, rows in (("job_category_mapping", fv.CATEGORY_PATTERNS), ("vn_city_mapping", fv.CITY_PATTERNS)):
+        seed = spark.createDataFrame([tuple(r) for r in rows], tables.SEEDS[name])
+        seed.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")
+    return tables.read_mappings(spark, folder)
+
+
+# A pattern for each order and part, one without a literal, and one that matches nothing.
+PATTERNS = r"""SELECT concat('\\border ', cast(o_orderkey AS varchar(30)), '\\b') AS pattern, o_orderpriority AS label FROM orders
+UNION ALL SELECT concat('(?i)PART (no )?0*', cast(p_partkey AS varchar(30)), '$'), p_brand FROM part
+UNION ALL SELECT '[5-7] of', 'late line' FROM region WHERE r_regionkey = 0
+UNION ALL SELECT 'order x', 'none' FROM region WHERE r_regionkey = 0"""
+SHIPPED = """SELECT concat('line ', cast(l_linenumber AS varchar(9)), ' of order ', cast(l_orderkey AS varchar(30)), ', part ',
+  cast(l_partkey AS varchar(30))) AS shipped FROM lineitem"""
+
+
+@query(
+    "pattern_table_join",
+    f"""WITH shipments AS ({SHIPPED.replace(" AS shipped", " AS shipped, l_orderkey, l_partkey, l_linenumber")})
+        SELECT shipped, o_orderpriority AS label FROM shipments JOIN orders ON l_orderkey = o_orderkey
+        UNION ALL SELECT shipped, p_brand FROM shipments JOIN part ON l_partkey = p_partkey
+        UNION ALL SELECT shipped, 'late line' FROM shipments WHERE l_linenumber BETWEEN 5 AND 7""",
+)
+def pattern_table_join(spark, sf_dir):
+    """Lines against a table of a pattern per order and part: 17,000 patterns at scale 0.01, 170,000 at 0.1."""
+    from postlens.operators.lookups import pattern_join
+
+    names = ("orders", "part", "region")
+    sql = PATTERNS
+    for name in names:
+        sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}")
+    patterns = spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
+    shipments = spark.sql(SHIPPED.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
+    return pattern_join(shipments, F.col("shipped"), patterns, "pattern", ["label"])
+
+
 PLACES = """SELECT url, trim(place) AS place FROM (SELECT url, unnest(string_split(
   trim(replace(replace(lower(working_location), '(mới)', ''), '&', '-')), '-')) AS place FROM postings)
   WHERE place NOT LIKE '%nơi khác%'"""

@@ -8,6 +8,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.operators.pattern_index import CHUNK, LITERALS, indexed_pattern_join
+
 GROUP_SIZE = 16  # patterns tested together first; measured best between 8 and 21
 
 #: What keeps its meaning only on its own: references to groups, named groups, quoting, comments.
@@ -49,17 +51,18 @@ def _quoted(value: str) -> str:
 
 
 def pattern_join(
-    df: DataFrame, text: Column, patterns: DataFrame, pattern: str, names: Sequence[str], literals: int = 2000
+    df: DataFrame, text: Column, patterns: DataFrame, pattern: str, names: Sequence[str], literals: int = LITERALS, chunk: int = CHUNK
 ) -> DataFrame:
     """`regex_lookup` against a table of patterns; a NULL pattern matches nothing.
 
-    Up to `literals` patterns become literals of the plan; a longer table is joined. The rows are the same.
+    Up to `literals` patterns become literals of the plan; a longer table is joined through an index of the literals
+    that its patterns need (`pattern_index`), `chunk` patterns at a time. The rows are the same.
     """
     wanted = patterns.select(F.col(pattern).alias("_pattern"), *names).filter("_pattern IS NOT NULL")
     rows = wanted.limit(literals + 1).collect()
     if rows and len(rows) <= literals:
         return regex_lookup(df, text, [tuple(r) for r in rows], names)
-    return df.withColumn("_text", text).join(wanted, F.expr("_text RLIKE _pattern"), "left").drop("_text", "_pattern")
+    return indexed_pattern_join(df, text, wanted, names, chunk, literals)
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:

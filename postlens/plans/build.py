@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlens import fixed_values as fv
 from postlens.operators.keys import dedupe_first
 from postlens.operators.merge import upsert_latest
 from postlens.operators.quality import MODEL_CHECKS, Check, QualityError, require, required_gate
@@ -113,9 +114,13 @@ def build_all(
     runs: DataFrame | None = None,
     dag: str = "",
     embedder=None,
+    mappings: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Build and check every model; returns the written tables by name.
 
+    `mappings` are the seed tables of categories and cities (`tables.read_mappings`); each one given takes the place of
+    the built-in list.
+
     With an `embedder` the texts that the collection does not hold yet are embedded and appended to it. `runs` are the
     audit records; their summaries of workflow `dag` come last.
     """
@@ -131,9 +136,12 @@ def build_all(
         ("stg_board_b_jobs", stg_board_b_jobs, staging_b),
     ):
         add("bronze", name, merge_bronze(model, staging, store.before("bronze", name)))
-    a = add("silver", "int_board_a_jobs", silver.int_board_a_jobs(built["stg_board_a_jobs"]))
-    b = add("silver", "int_board_b_jobs", silver.int_board_b_jobs(built["stg_board_b_jobs"]))
-    jobs = add("silver", "int_jobs_unified", silver.int_jobs_unified(a, b, logos, load_time=load_time))
+    mappings = mappings or {}
+    categories = mappings.get("job_category_mapping", fv.CATEGORY_PATTERNS)
+    cities = mappings.get("vn_city_mapping", fv.CITY_PATTERNS)
+    a = add("silver", "int_board_a_jobs", silver.int_board_a_jobs(built["stg_board_a_jobs"], patterns=categories))
+    b = add("silver", "int_board_b_jobs", silver.int_board_b_jobs(built["stg_board_b_jobs"], patterns=categories))
+    jobs = add("silver", "int_jobs_unified", silver.int_jobs_unified(a, b, logos, cities, load_time))
     for name, model in DIMENSIONS.items():
         add("gold", name, model(jobs, load_time))
     add("gold", "dim_company_logo", gold.dim_company_logo(logos))

@@ -10,21 +10,31 @@ from postlens.functions.experience import extract_experience, years_band, years_
 from postlens.functions.labels import education_level, names_other_places, work_arrangement, work_model
 from postlens.functions.salary import max_salary, min_salary, salary_bench, salary_value
 from postlens.functions.text import normal_location, strip, surrogate_key
-from postlens.operators.lookups import lookup_join, regex_lookup
+from postlens.operators.lookups import lookup_join, pattern_join, regex_lookup
 
 BOARD_A, BOARD_B = "board_a", "board_b"
 
 
 def with_category(df: DataFrame, title: str = "title", patterns=fv.CATEGORY_PATTERNS) -> DataFrame:
-    """One row per category whose pattern the title matches, `Others` when none does."""
-    unicode_edges = [("(?U)" + pattern, *rest) for pattern, *rest in patterns]
-    matched = regex_lookup(df, F.lower(F.col(title)), unicode_edges, ["target_job_category"])
+    """One row per category whose pattern the title matches, `Others` when none does.
+
+    `patterns` is a list of (pattern, category) or a seed table (pattern, target_job_category) of any length.
+    """
+    lowered = F.lower(F.col(title))
+    if isinstance(patterns, DataFrame):
+        edged = patterns.withColumn("pattern", F.concat(F.lit("(?U)"), F.col("pattern")))
+        matched = pattern_join(df, lowered, edged, "pattern", ["target_job_category"])
+    else:
+        unicode_edges = [("(?U)" + pattern, *rest) for pattern, *rest in patterns]
+        matched = regex_lookup(df, lowered, unicode_edges, ["target_job_category"])
     category = F.coalesce("target_job_category", F.lit(fv.NO_CATEGORY))
     return matched.withColumn("job_category", category).drop("target_job_category")
 
 
 def with_city(df: DataFrame, location: str = "working_location", patterns=fv.CITY_PATTERNS) -> DataFrame:
-    """One row per city whose pattern the location matches, NULL when none does."""
+    """One row per city whose pattern the location matches, NULL when none does; `patterns` as a list or a seed table."""
+    if isinstance(patterns, DataFrame):
+        return pattern_join(df, F.col(location), patterns, "pattern", ["city_en"])
     return regex_lookup(df, F.col(location), [(p, city) for p, _, city, _ in patterns], ["city_en"])
 
 

@@ -47,8 +47,21 @@ def spread_small(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
 
 
+#: The two mapping seeds, their file names and columns.
+SEEDS = {
+    "job_category_mapping": "pattern string, target_job_category string",
+    "vn_city_mapping": "pattern string, city_code string, city_en string, region string",
+}
+
+
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """A seed file with a header; a quote inside a quoted value is doubled, a backslash is a plain character."""
+    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+
+
+def read_mappings(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Both mapping seeds of a folder, by name."""
+    return {name: read_seed(spark, f"{folder.rstrip('/')}/{name}.csv", schema) for name, schema in SEEDS.items()}
 
 
 def source_list(lists: DataFrame, source: str, known: tuple[str, ...]) -> DataFrame:

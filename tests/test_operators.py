@@ -72,6 +72,32 @@ def test_pattern_join_by_literals_and_by_join(spark, literals):
     assert sorted(rows(got), key=str) == sorted([("ab", "A"), ("ab", "B"), ("cc", "C"), ("x", None), (None, None)], key=str)
 
 
+@pytest.mark.parametrize("chunk, literals", [(1000, 1), (7, 2)])
+def test_indexed_patterns_match_as_each_does_alone(spark, chunk, literals):
+    """Patterns with and without literals, flags, alternatives, optional parts; repeated rows and patterns."""
+    patterns = [r"\bdata\b", r"data|info", r"(?i)KỸ sư", r"(?iu)Kit", r"x?y*z", r"^\d+$", r"ab{2,}c", r"(ab)?cd", r"[ab]+ro", r"a\.b", r"(?:one|two) three"]
+    patterns += [f"(?i)word{k}\\b" for k in range(40)] + [r"data|info", None, r"q(?=u)uick", r"(?<n>hel)lo \k<n>", "no match here"]
+    texts = ["data", "metadata info", "kỹ Sư", "KIT", "\u212ait", "k\u0131t", "xyz", "z", "12", "abbbc", "cd", "abro", "a.b", "two three", "WORD1 word39", "quick", "hello hel", "", None, "data"]
+    df = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "s string, _row int")
+    table = spark.createDataFrame([(p, f"v{i}") for i, p in enumerate(patterns)], "pattern string, v string")
+    got = lookups.pattern_join(df, F.col("s"), table, "pattern", ["v"], literals, chunk)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    expected = lookups.regex_lookup(df, F.col("s"), [(p, f"v{i}") for i, p in enumerate(patterns) if p is not None], ["v"])
+    assert sorted(rows(got), key=str) == sorted(rows(expected), key=str)
+
+
+def test_required_literals():
+    from postlens.functions.patterns import required_literals
+
+    known = {
+        "abc": ["abc"], "ab?c": None, "abc+d": ["abc"], "foo|bar": ["bar", "foo"], "a|bc": None, "(foo|bar)baz": ["bar", "foo"],
+        "(foo)?baz": ["baz"], "[abc]de": ["de"], "x{2,}yz": ["yz"], "xy{0}zz": ["zz"], "(?iu)task": ["ta"], "(?i)Ab É": ["ab "],
+        "(?:ab|cd)+ef": ["ab", "cd"], "a(?i)Bcd|EF": ["bcd", "ef"], r"p\.net": ["p.net"], r"q\p{L}rs": ["rs"], "(?x)a b": None, r"\Qab": None,
+        "(?!ab)cde": ["cde"], "(ab": None, "[a-z&&[^b]]xy": ["xy"], "": None, r"\d+": None,
+    }
+    assert {p: required_literals(p) for p in known} == known
+
+
 def test_dedupe_first_drops_empty_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("", 2), (None, 3), ("b", 4)], "k string, o int")
     assert rows(keys.dedupe_first(df, "k", "o"), "k") == [("a", 0), ("b", 4)]

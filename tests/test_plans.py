@@ -11,7 +11,7 @@ from postlens.catalog import fixture as fx
 from postlens.operators import quality
 from postlens.operators.vectors import embed_text
 from postlens.plans import alerts, build, embedding, retrieval
-from postlens.sources import schemas
+from postlens.sources import schemas, tables
 from postlens.streaming.ingest import ingest_stream, read_version
 
 
@@ -49,6 +49,18 @@ def test_build_stops_at_a_layer_that_fails(spark, sf, tmp_path):
     assert not (tmp_path / "silver").exists()
 
 
+def test_build_takes_its_mappings_from_seeds(spark, sf, tmp_path):
+    a, b, logos = staged(spark, sf)
+    (tmp_path / "job_category_mapping.csv").write_text('pattern,target_job_category\n(?i)\\bpower\\s*bi\\b,Charts\n"(data|""x""), none",None\n')
+    (tmp_path / "vn_city_mapping.csv").write_text("pattern,city_code,city_en,region\nhcm|hà\\s*nội,big,Big City,any\n")
+    mappings = tables.read_mappings(spark, str(tmp_path))
+    assert [r[0] for r in mappings["job_category_mapping"].collect()] == [r"(?i)\bpower\s*bi\b", '(data|"x"), none']
+    built = build.build_all(build.Store(spark, str(tmp_path / "out"), "1"), a, b, logos, mappings=mappings)
+    jobs = built["int_jobs_unified"]
+    assert {r[0] for r in jobs.select("job_category").distinct().collect()} == {"Charts", "Others"}
+    assert {r[0] for r in jobs.select("job_location").distinct().collect()} == {"Big City", None}
+
+
 def test_salary_bounds_are_ordered(spark, sf):
     jobs = fx.fact(spark, sf).filter("salary_min_million IS NOT NULL AND salary_max_million IS NOT NULL")
     inside = F.col("salary_avg_million").between(F.col("salary_min_million"), F.col("salary_max_million"))
