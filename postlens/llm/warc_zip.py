@@ -375,9 +375,12 @@ def read_records(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
     names = [n for n in Record._fields if payloads or n != "payload"]
     kinds = {"payload_bytes": pa.int64(), "payload": pa.binary()}
     schema = pa.schema([(n, kinds.get(n, pa.string())) for n in names])
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that narrow rows are not coalesced
     ranges = (
         indexed_records(archives)
-        .groupBy("archive", F.floor(F.col("start") / range_bytes).alias("range"))
+        .withColumn("range", F.floor(F.col("start") / range_bytes))
+        .repartition(tasks, "archive", "range")
+        .groupBy("archive", "range")
         .agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("places"))
     )
 
