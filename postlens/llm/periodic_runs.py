@@ -11,11 +11,12 @@ period, how far the repetition goes to the right, and the Z-function of the reve
 left. Periods that are multiples of a smaller one are dropped: the smaller one has the same run. What ends inside a
 tile at both sides and is too short is dropped; all else is a fragment (document, period, start, end).
 
-Documents of up to `TILE` words are one tile with all octaves and are solved where they lie. Longer ones are exploded
-into tiles per octave (the small octaves share a tile, larger ones get tiles of their size), which Spark deals out, so
-that no task solves a whole long document. Fragments are shuffled by document and period, where overlapping ones are
-stitched to runs; a run has at most a fragment for each s words of it. Only documents with a run meet their text again.
-Words are told apart by 64-bit hashes; each fingerprint that matches is confirmed by the Z-functions.
+Documents of up to `TILE` words are one tile with all octaves, so nothing of them has to meet and they are solved where
+they lie. Longer ones are exploded into tiles per octave (the small octaves share a tile, larger ones get tiles of their
+size), which Spark deals out, so that no task solves a whole long document. A tile joins the fragments of its own
+boundaries; they are shuffled by document and period, where those of neighbouring tiles are stitched to runs. Only long
+documents meet their text again. Words are told apart by 64-bit hashes; each fingerprint that matches is confirmed by
+the Z-functions.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
@@ -36,12 +38,11 @@ from postlens.llm.words import mix, split_words
 from postlens.session import materialise
 
 PERIODS, LEAST = 4, 6
-TILE = 1 << 14
+TILE = 1 << 13
 RESULT = ("n_words", "runs", "collapsed")
-_WORK = ("_row", "_text", "_fragments", "_tiled")
+_WORK = ("_row", "_text")
 _RUNS = T.ArrayType(T.StructType().add("start", "long").add("period", "long").add("length", "long"))
-_FRAGMENTS = T.ArrayType(T.StructType().add("period", "long").add("start", "long").add("end", "long"))
-_FRAGMENT_KIND = pa.list_(pa.struct([("period", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
+_RUN_KIND = pa.list_(pa.struct([("start", pa.int64()), ("period", pa.int64()), ("length", pa.int64())]))
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -145,6 +146,7 @@ def solve(tiles: Tiles) -> tuple[np.ndarray, np.ndarray]:
         places, anchors = places[same], anchors[same]
         if len(places):
             begins = np.flatnonzero(np.diff(anchors, prepend=-1))
+            latest: dict[tuple[int, int], int] = {}  # of a tile and period, the last fragment
             for i, j in zip(begins.tolist(), [*begins[1:].tolist(), len(anchors)]):
                 anchor = int(anchors[i])
                 tile = int(np.searchsorted(first, anchor, "right")) - 1
@@ -155,6 +157,11 @@ def solve(tiles: Tiles) -> tuple[np.ndarray, np.ndarray]:
                 lags = (places[i:j] - anchor).tolist()
                 size = int(tiles.size[number[tile]])
                 for q, start, end in _around(words[begin:stop].tolist(), anchor - begin, step, lags, document[0] == 0, document[1] == size):
+                    last = latest.get((tile, q))
+                    if last is not None and place + start <= found[last][2] - q:
+                        found[last] = (q, found[last][1], max(found[last][2], place + end))
+                        continue
+                    latest[tile, q] = len(found)
                     found.append((q, place + start, place + end))
                     owner.append(int(number[tile]))
         grown = np.zeros_like(marks)
@@ -188,48 +195,54 @@ def tile_bounds(words: int, tile: int) -> Iterator[tuple[int, int, int, int, int
             yield max(0, core - step), min(words, stop + 3 * step), core, stop, octave, above
 
 
-def _lists(rows: np.ndarray, owner: np.ndarray, count: int) -> pa.Array:
-    order = np.argsort(owner, kind="stable")
-    rows, owner = rows[order], owner[order]
-    offsets = np.searchsorted(owner, np.arange(count + 1)).astype(np.int32)
-    values = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(3)], names=["period", "start", "end"])
-    return pa.ListArray.from_arrays(pa.array(offsets), values).cast(_FRAGMENT_KIND)
+def _whole_runs(found: np.ndarray, owner: np.ndarray, count: int) -> list[list[tuple[int, int, int]]]:
+    """(start, period, length), in order, of the runs of each document that is one tile: its fragments are whole."""
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(count)]
+    for document, (q, start, end) in zip(owner.tolist(), found.tolist()):
+        if end - start >= max(LEAST, PERIODS * q):
+            out[document].append((start, q, end - start))
+    return [sorted(runs) for runs in out]
 
 
-def _joined(text: bytes | None, digest: bool, keep: np.ndarray | None = None) -> str:
+def _collapsed(text: bytes | None, runs: Sequence[tuple[int, int, int]], digest: bool) -> str:
+    """The words that no run repeats, joined by one space, or their SHA-256."""
     words = (text or b"").split()
-    if keep is not None:
-        words = [w for w, k in zip(words, keep.tolist()) if k]
+    if runs:
+        keep = np.ones(len(words), dtype=bool)
+        for start, period, length in runs:
+            keep[start + period : start + length] = False
+        words = list(compress(words, keep.tolist()))
     line = b" ".join(words)
     return hashlib.sha256(line).hexdigest() if digest else line.decode("utf-8", "replace")
 
 
+def _run_lists(runs: list) -> pa.Array:
+    return pa.array([None if r is None else [dict(zip(("start", "period", "length"), x)) for x in r] for r in runs], _RUN_KIND)
+
+
 def surveyed(rows: DataFrame, carry: Sequence[str], tile: int, digest: bool) -> DataFrame:
-    """Rows with their words counted and joined, and the fragments of all but long texts; texts that are needed again stay."""
+    """Rows with their words counted, and with the runs and collapsed words of all but long texts, which stay as `_text`."""
     schema = rows.select(*[F.col(f"`{c}`") for c in carry], "_row").schema
-    schema = schema.add("n_words", "long").add("collapsed", "string").add("_text", "binary").add("_fragments", _FRAGMENTS).add("_tiled", "boolean")
+    schema = schema.add("n_words", "long").add("runs", _RUNS).add("collapsed", "string").add("_text", "binary")
 
     def survey(batches):
         for batch in slices(batches, "_text"):
             words = split_words(batch["_text"], lower=False)
             counts = words.counts()
-            tiled = counts > tile
-            inside = words.hashes[np.repeat(~tiled, counts)]
-            first = np.concatenate([[0], np.cumsum(np.where(tiled, 0, counts))])
-            found, owner = solve(whole_documents(inside, first))
-            again = tiled.copy()
-            again[owner] = True
+            long = (counts > tile).tolist()
+            inside = words.hashes[np.repeat(counts <= tile, counts)]
+            first = np.concatenate([[0], np.cumsum(np.where(counts > tile, 0, counts))])
+            runs = _whole_runs(*solve(whole_documents(inside, first)), len(counts))
             texts = batch["_text"].to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch[c] for c in (*carry, "_row")],
                     pa.array(counts.astype(np.int64)),
-                    pa.array([None if a else _joined(t, digest) for t, a in zip(texts, again.tolist())], pa.string()),
-                    pa.array([t if a else None for t, a in zip(texts, again.tolist())], pa.binary()),
-                    _lists(found, owner, len(texts)),
-                    pa.array(tiled),
+                    _run_lists([None if again else r for r, again in zip(runs, long)]),
+                    pa.array([None if again else _collapsed(t, r, digest) for t, r, again in zip(texts, runs, long)], pa.string()),
+                    pa.array([t if again else None for t, again in zip(texts, long)], pa.binary()),
                 ],
-                names=[*carry, "_row", "n_words", "collapsed", "_text", "_fragments", "_tiled"],
+                names=[*carry, "_row", "n_words", "runs", "collapsed", "_text"],
             )
 
     return rows.mapInArrow(survey, schema)
@@ -293,26 +306,19 @@ def periodic_runs(
     names = [c for c in without(docs, RESULT + _WORK).columns if carry is None or c in carry]
     rows = docs.select(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id().alias("_row"), utf8(text).alias("_text"))
     survey = materialise(surveyed(rows, names, tile, digest), "runs-survey")
-    dealt = tiles_of(survey.filter("_tiled"), tile).repartition("_row", "octave", "core")
-    here = survey.filter("_text IS NOT NULL AND NOT _tiled").select("_row", F.inline("_fragments"))
-    runs = stitched(here.unionByName(tile_fragments(dealt)))
-    runs = materialise(runs.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs")), "runs")
-
-    result = [*[F.col(f"`{c}`") for c in names], "n_words", "runs", "collapsed"]
-    plain = survey.filter("_text IS NULL").withColumn("runs", F.array().cast(_RUNS)).select(*result)
-    again = survey.filter("_text IS NOT NULL").join(runs, "_row", "left").withColumn("runs", F.coalesce("runs", F.array().cast(_RUNS)))
+    long = survey.filter("_text IS NOT NULL").drop("runs", "collapsed")
+    tiles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fragments = tile_fragments(tiles_of(long, tile).repartition(tiles, "_row", "octave", "core"))
+    runs = stitched(fragments).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
+    again = long.join(materialise(runs, "runs"), "_row", "left").withColumn("runs", F.coalesce("runs", F.array().cast(_RUNS)))
+    result = [*names, "n_words", "runs", "collapsed"]
     again = again.select(*[F.col(f"`{c}`") for c in names], "n_words", "runs", "_text")
-    schema = again.drop("_text").schema.add("collapsed", "string")
 
     def collapse(batches):
         for batch in slices(batches, "_text"):
-            out = []
-            for n, found, line in zip(batch["n_words"].to_pylist(), batch["runs"].to_pylist(), batch["_text"].to_pylist()):
-                keep = np.ones(n, dtype=bool)
-                for r in found:
-                    keep[r["start"] + r["period"] : r["start"] + r["length"]] = False
-                out.append(_joined(line, digest, keep if found else None))
-            columns = [batch[c] for c in (*names, "n_words", "runs")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string())], names=[*names, "n_words", "runs", "collapsed"])
-
-    return plain.unionByName(again.mapInArrow(collapse, schema))
+            runs_of = [[(r["start"], r["period"], r["length"]) for r in found] for found in batch["runs"].to_pylist()]
+            out = [_collapsed(t, r, digest) for t, r in zip(batch["_text"].to_pylist(), runs_of)]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in result[:-1]], pa.array(out, pa.string())], names=result)
+
+    whole = survey.filter("_text IS NULL").select(*[F.col(f"`{c}`") for c in result])
+    return whole.unionByName(again.mapInArrow(collapse, again.drop("_text").schema.add("collapsed", "string")))
