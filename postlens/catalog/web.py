@@ -64,7 +64,18 @@ TITLE_SQL = _text_sql(r"regexp_extract(seen, '(?is)<title\b[^>]*>(.*?)</title\s*
         FROM {SEEN_SQL}""",
 )
 def page_sections(spark, sf_dir):
-    return pages.page_text(table(spark, sf_dir, "pages")).drop("last_page")
+    return pages.page_text(table(spark, sf_dir, "pages"), open_ended=False).drop("last_page")
+
+
+@query(
+    "page_paragraphs",
+    rf"""SELECT page_id, array_to_string(list_filter([{_text_sql('x')} FOR x IN regexp_extract_all(seen,
+          '(?is)<(?:p|li)\b[^>]*>(.*?)(?:</(?:p|li|article)\s*>)', 1)], lambda t: t <> ''), ' ') AS paragraphs
+        FROM {SEEN_SQL}""",
+)
+def page_paragraphs(spark, sf_dir):
+    """Also the last paragraphs of articles in which their end tag is missing."""
+    return pages.page_text(table(spark, sf_dir, "pages")).select("page_id", "paragraphs")
 
 
 # The pages' own navigation stands for a pagination bar: its entries are links, and two more are added here.
@@ -84,6 +95,45 @@ def last_page(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", pages.last_page(numbered, BAR, ENTRY).alias("last_page"))
 
 
+# A board's markup is planted behind the navigation of each page; what it says follows from the page's number and url.
+CARD = """concat('<div class="ipy-2 wide"><h3 data-url="', url, '?lab_feature=1"><a>Engineer <b>', cast(page_id AS varchar(20)),
+  '</b></a></h3><div class="imy-3 d-flex align-items-center"><div><img data-src="/l', cast(page_id AS varchar(20)), '.png"></div>',
+  '<span>Co<span> of</span> ', cast(page_id % 7 AS varchar(20)), '</span></div><div class="text-rich-grey flex-shrink-0">',
+  '<div>At</div>office</div><div class="text-rich-grey text-truncate text-nowrap stretched-link position-relative" title="Place ',
+  cast(page_id % 5 AS varchar(20)), '"></div><div class="imt-4 imb-3 d-flex igap-1"><div><a>SQL</a></div><a> </a><a>T',
+  cast(page_id % 3 AS varchar(20)), '</a></div></div>')"""
+CARDS = f"""concat({CARD}, '<div class="ipy-2"><h3>ad</h3></div>', CASE WHEN page_id % 2 = 0 THEN {CARD} ELSE '<div class="ipy-20"></div>' END)"""
+DETAIL = """concat('<div><div> Job Expertise: </div><div><div><a>Data</a></div><a>E', cast(page_id % 4 AS varchar(20)), '</a></div></div>',
+  '<div class="imy-5 paragraph"><p>Job</p><div>Build <i>tables</i> ', cast(page_id AS varchar(20)), '</div><ul><li>a<ul><li>b</li></ul>tail</li></ul>',
+  '</div><p>between</p><div class="imy-5 paragraph">x &amp; y<br><div><div>Need</div> Spark ', cast(page_id % 9 AS varchar(20)), '</div>!</div>')"""
+
+
+def _planted(spark, sf_dir, markup):
+    planted = F.replace("html", F.lit("</nav>"), F.concat(F.lit("</nav>"), F.expr(markup)))
+    return table(spark, sf_dir, "pages").select("page_id", planted.alias("html"))
+
+
+@query(
+    "listing_cards",
+    """SELECT page_id, position::INTEGER AS position, concat('Engineer ', page_id::VARCHAR) AS title, string_split(url, '?')[1] AS url,
+        concat('Co of ', (page_id % 7)::VARCHAR) AS company, concat('/l', page_id::VARCHAR, '.png') AS logo, 'At office' AS mode,
+        concat('Place ', (page_id % 5)::VARCHAR) AS location, concat('SQL, T', (page_id % 3)::VARCHAR) AS tags
+       FROM (SELECT *, unnest(CASE WHEN page_id % 2 = 0 THEN [0, 2] ELSE [0] END) AS position FROM pages)""",
+)
+def listing_cards(spark, sf_dir):
+    return pages.listing_cards(_planted(spark, sf_dir, CARDS), pages.CARDS_A)
+
+
+@query(
+    "detail_fields",
+    """SELECT page_id, concat('Data, E', (page_id % 4)::VARCHAR) AS job_cat,
+        concat('Job Build tables ', page_id::VARCHAR, ' a b tail') AS descriptions,
+        concat('x & y Need Spark ', (page_id % 9)::VARCHAR, ' !') AS requirements FROM pages""",
+)
+def detail_fields(spark, sf_dir):
+    return pages.detail_fields(_planted(spark, sf_dir, DETAIL), pages.DETAIL_A)
+
+
 # Words that do occur on some of the pages stand for the protection phrases.
 SIGNS = ("thing", "êeux", "stst")
 

@@ -1,6 +1,6 @@
 """Web pages as table rows: listing urls, page text, cards, sections and challenge detection.
 
-All of it is column expressions. Pages are read by the marks around what is wanted, not as a document tree.
+Urls and signs are column expressions; texts, cards and fields are read out of nested elements (`elements`).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postlens import fixed_values as fv
 from postlens.functions.text import any_of, col, first_group
+from postlens.operators.elements import ENTITIES, Fields, Read, Step, read_blocks, read_fields
 
 # ---- listing urls --------------------------------------------------------------------------
 
@@ -63,8 +64,6 @@ def is_challenge(title: Column | str, body: Column | str, signs: tuple[str, ...]
 
 # ---- reading pages -------------------------------------------------------------------------
 
-#: Entities that are decoded, in this order.
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 _UNSEEN = r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
 _TAG = r"(?s)</?[a-zA-Z!][^>]*>"
 
@@ -72,7 +71,7 @@ _TAG = r"(?s)</?[a-zA-Z!][^>]*>"
 def plain_text(html: Column) -> Column:
     """Text of a piece of HTML: tags become spaces, frequent entities are decoded, white space is collapsed."""
     text = F.regexp_replace(html, _TAG, " ")
-    for entity, character in _ENTITIES:
+    for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
@@ -82,17 +81,6 @@ def shown(html: Column | str) -> Column:
     return F.regexp_replace(F.coalesce(col(html), F.lit("")), _UNSEEN, " ")
 
 
-def element(html: Column, tag: str) -> Column:
-    """Text of the first element with this tag, NULL where there is none or it has no text."""
-    return F.nullif(plain_text(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)), F.lit(""))
-
-
-def elements(html: Column, tags: str) -> Column:
-    """Texts of the elements with one of these tags (`p|li`), each up to the next end tag of them, blank ones left out."""
-    found = F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{tags})\b[^>]*>(.*?)</(?:{tags})\s*>"), F.lit(1))
-    return F.filter(F.transform(found, plain_text), lambda text: text != "")
-
-
 #: Where a board's pagination bar begins and ends, and one numbered entry of it.
 PAGINATION = (
     r"(?is)pagination-search-jobs.*?ipagination[^>]*>(.*?)</nav>",
@@ -107,81 +95,80 @@ def last_page(html: Column | str, bar: str = PAGINATION[0], entry: str = PAGINAT
     return F.greatest(F.coalesce(F.array_max(numbers), F.lit(1)), F.lit(1))
 
 
-def page_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Title, body text and paragraph text of every page, and the last page its pagination names."""
-    seen = shown("html")
-    return pages.select(
-        key,
-        element(seen, "title").alias("title"),
-        plain_text(seen).alias("body"),
-        F.nullif(F.array_join(elements(seen, "p|li"), " "), F.lit("")).alias("paragraphs"),
-        last_page("html").alias("last_page"),
+def page_text(pages: DataFrame, key: str = "page_id", open_ended: bool = True) -> DataFrame:
+    """Title, body text and text of paragraphs and list items of every page, and the last page its pagination names.
+
+    An item inside another one is part of its text and stands for itself as well. Without `open_ended` paragraphs and
+    items are left out behind which none is ended any more.
+    """
+    fields: Fields = {
+        "title": (Read((Step(("title",)),)),),
+        "body": (Read(()),),
+        "paragraphs": (Read((), each=("p", "li"), joined=" ", open_ended=open_ended),),
+    }
+    bar = last_page("html").alias("last_page")
+    return read_fields(pages.select(key, "html", bar), fields, [key, "last_page"]).select(
+        key, "title", F.coalesce("body", F.lit("")).alias("body"), "paragraphs", "last_page"
     )
 
 
 # ---- cards of a listing and fields of a posting --------------------------------------------
 
-class Links(str):
-    """A pattern around links whose texts are listed."""
-
-
-#: Where a card begins, and each field's patterns on it (the first filled one counts).
+_COMPANY_A = Step(("div",), "imy-3 d-flex align-items-center")
+#: Where a card begins, and each field on it (the first filled one counts).
 CARDS_A = (
-    r'<div class="ipy-2"',
+    Step(("div",), "ipy-2"),
     {
-        "title": (r"(?is)<h3[^>]*data-url=[^>]*>(.*?)</h3>",),
-        "url": (r'(?is)<h3[^>]*data-url="([^"?]*)',),
-        "company": (r'(?is)class="imy-3 d-flex align-items-center".*?<span[^>]*>(.*?)</span>',),
-        "logo": (r'(?is)class="imy-3 d-flex align-items-center".*?<img[^>]*data-src="([^"]*)"',),
-        "mode": (r'(?is)class="text-rich-grey flex-shrink-0"[^>]*>(.*?)</div>',),
-        "location": (r'(?is)class="text-rich-grey text-truncate text-nowrap stretched-link position-relative"\s+title="([^"]*)"',),
-        "tags": (Links(r'(?is)class="imt-4 imb-3 d-flex igap-1"[^>]*>(.*?)</div>'),),
+        "title": (Read((Step(("h3",), having="data-url"),)),),
+        "url": (Read((Step(("h3",), having="data-url"),), "data-url", "?"),),
+        "company": (Read((_COMPANY_A, Step(("span",)))),),
+        "logo": (Read((_COMPANY_A, Step(("img",))), "data-src"),),
+        "mode": (Read((Step(("div",), "text-rich-grey flex-shrink-0"),)),),
+        "location": (Read((Step(("div",), "text-rich-grey text-truncate text-nowrap stretched-link position-relative"),), "title"),),
+        "tags": (Read((Step(("div",), "imt-4 imb-3 d-flex igap-1"),), each=("a",)),),
     },
 )
 CARDS_B = (
-    r'<div class="job-item-search-result',
+    Step(("div",), "job-item-search-result"),
     {
-        "title": (r"(?is)<h3[^>]*>(.*?)</h3>",),
-        "company": (r'(?is)<a[^>]*class="company"[^>]*>(.*?)</a>',),
-        "logo": (r'(?is)<img[^>]* src="([^"]*)"', r'(?is)<img[^>]*data-src="([^"]*)"'),
-        "url": (r'(?is)<a[^>]*href="([^"?]*)',),
-        "location": (r'(?is)<label class="address"[^>]*>(.*?)</label>',),
-        "salary": (r'(?is)<label class="title-salary"[^>]*>(.*?)</label>', r'(?is)<label class="salary"[^>]*>(.*?)</label>'),
-        "experience": (r'(?is)<label class="exp"[^>]*>(.*?)</label>',),
+        "title": (Read((Step(("h3",)),)),),
+        "company": (Read((Step(("a",), "company"),)),),
+        "logo": (Read((Step(("img",)),), "src"), Read((Step(("img",)),), "data-src")),
+        "url": (Read((Step(("a",)),), "href", "?"),),
+        "location": (Read((Step(("label",), "address"),)),),
+        "salary": (Read((Step(("label",), "title-salary"),)), Read((Step(("label",), "salary"),))),
+        "experience": (Read((Step(("label",), "exp"),)),),
     },
 )
+
+
+def _behind(tags: tuple[str, ...], says: str, content: tuple[str, ...]) -> tuple[Read, ...]:
+    """The text of what follows a heading or label."""
+    return (Read((Step(tags, says=says), Step(content, after=True))),)
+
+
+_SECTION_A = Step(("div",), "imy-5 paragraph")
 #: The fields of a posting's page by their headings or labels.
 DETAIL_A = {
-    "job_cat": (Links(r"(?is)<div[^>]*>\s*Job Expertise:\s*</div>\s*<div[^>]*>(.*?)</div>"),),
-    "descriptions": (r'(?is)class="imy-5 paragraph"[^>]*>(.*?)</div>',),
-    "requirements": (r'(?is)class="imy-5 paragraph".*?class="imy-5 paragraph"[^>]*>(.*?)</div>',),
+    "job_cat": (Read((Step(("div",), says="Job Expertise:"), Step(("div",), after=True)), each=("a",)),),
+    "descriptions": (Read((_SECTION_A,)),),
+    "requirements": (Read((_SECTION_A, _SECTION_A._replace(after=True))),),
 }
 DETAIL_B = {
-    "job_cat": (Links(r"(?is)<div[^>]*>[^<]*Chuyên môn:[^<]*</div>\s*<div[^>]*>(.*?)</div>"),),
-    "descriptions": (r"(?is)<h[23][^>]*>\s*Mô tả công việc\s*</h[23]>\s*<div[^>]*>(.*?)</div>",),
-    "requirements": (r"(?is)<h[23][^>]*>\s*Yêu cầu ứng viên\s*</h[23]>\s*<div[^>]*>(.*?)</div>",),
-    "education": (r"(?is)>\s*Học vấn\s*</(?:div|strong)>\s*<(?:div|span)[^>]*>(.*?)</(?:div|span)>",),
-    "type_of_work": (r"(?is)>\s*Hình thức làm việc\s*</(?:div|strong)>\s*<(?:div|span)[^>]*>(.*?)</(?:div|span)>",),
+    "job_cat": (Read((Step(("div",), holds="Chuyên môn:"), Step(("div",), after=True)), each=("a",)),),
+    "descriptions": _behind(("h2", "h3"), "Mô tả công việc", ("div",)),
+    "requirements": _behind(("h2", "h3"), "Yêu cầu ứng viên", ("div",)),
+    "education": _behind(("div", "strong"), "Học vấn", ("div", "span")),
+    "type_of_work": _behind(("div", "strong"), "Hình thức làm việc", ("div", "span")),
 }
 
 
-def _fields(html: Column, patterns: dict[str, tuple[str, ...]]) -> list[Column]:
-    def read(pattern: str) -> Column:
-        found = F.regexp_extract(html, str(pattern), 1)
-        listed = F.array_join(elements(found, "a"), ", ") if isinstance(pattern, Links) else plain_text(found)
-        return F.nullif(listed, F.lit(""))
-
-    return [F.coalesce(*[read(p) for p in options]).alias(name) for name, options in patterns.items()]
-
-
-def listing_cards(pages: DataFrame, cards: tuple[str, dict[str, tuple[str, ...]]], key: str = "page_id") -> DataFrame:
-    """One row per card that has a title: the page, its position on it and its fields."""
-    marker, patterns = cards
-    found = pages.select(key, F.posexplode(F.split(shown("html"), marker, -1)).alias("position", "_card"))
-    named = found.filter("position > 0").select(key, (F.col("position") - 1).alias("position"), *_fields(F.col("_card"), patterns))
-    return named.filter("title IS NOT NULL")
+def listing_cards(pages: DataFrame, cards: tuple[Step, Fields] = CARDS_A, key: str = "page_id") -> DataFrame:
+    """One row per card that has a title: the page, its position among the cards and its fields."""
+    block, fields = cards
+    return read_blocks(pages, block, fields, [key]).filter("title IS NOT NULL")
 
 
-def detail_fields(pages: DataFrame, patterns: dict[str, tuple[str, ...]] = DETAIL_A, key: str = "page_id") -> DataFrame:
+def detail_fields(pages: DataFrame, fields: Fields = DETAIL_A, key: str = "page_id") -> DataFrame:
     """The fields that a posting's page shows, NULL where it has none."""
-    return pages.select(key, *_fields(shown("html"), patterns))
+    return read_fields(pages, fields, [key])

@@ -446,6 +446,43 @@ def test_details_of_both_boards(spark):
     assert (got["descriptions"], got["type_of_work"], got["education"]) == ("Do", "Full", None)
 
 
+def test_elements_end_at_their_own_end_tags(spark):
+    html = """<div class="imy-5 paragraph">Job <div>Build <b>tables</b></div> Write SQL</div></i>
+      <div class="imy-5 paragraph"><ul><li>a<ul><li>b</li></ul>tail</li></ul><script>if (a</b) "</div>"</script><!-- </div> --> Need Spark</div> after"""
+    got = pages.detail_fields(page(spark, html)).first()
+    assert (got["descriptions"], got["requirements"], got["job_cat"]) == ("Job Build tables Write SQL", "a b tail Need Spark", None)
+    assert pages.page_text(page(spark, html)).first()["paragraphs"] == "a b tail b"
+    loose = pages.page_text(page(spark, "<p>one<p>two <i>x</i><ul><li>a<li>b<ul><li>c</ul></ul><p>three</p>")).first()
+    assert loose["paragraphs"] == "one two x a b c a b c three" and loose["body"] == "one two x a b c three"
+    odd = pages.page_text(page(spark, "a < b <3 <!-- open <p>x</p> <script>y <title>T")).first()
+    assert (odd["title"], odd["paragraphs"], odd["body"]) == ("T", "x", "a < b <3 x y T")
+    empty = pages.page_text(page(spark, None)).first()
+    assert (empty["title"], empty["body"], empty["paragraphs"]) == (None, "", None)
+
+
+def test_attributes_and_steps():
+    from postlens.operators.elements import Page, Read, Step
+
+    tree = Page('<a HREF=x?1 data-k="v&amp;w" disabled><img src=""/></a><h3> Title </h3><div id=\'q\'>one<div>two</div></div><div>three')
+    read = lambda *steps, **how: tree.read([Read(steps, **how)])
+    assert read(Step(("a",)), attribute="href", until="?") == "x" and read(Step(("a",)), attribute="data-k") == "v&w"
+    assert read(Step(("a",), having="disabled"), attribute="none") is None and read(Step(("img",)), attribute="src") is None
+    assert read(Step(says="Title"), Step(("div",), after=True)) == "one two" and read(Step(("div",), holds="tw")) == "two"
+    assert read(Step(("div",)), Step(("div",), after=True)) == "three" and read(Step(("div",)), Step(("div",))) == "two"
+    assert tree.read([Read((Step(("h4",)),)), Read((Step(("h3",)),))]) == "Title"
+
+
+def test_thousands_of_unclosed_tags_cost_no_more(spark):
+    import time
+
+    from postlens.operators.elements import Page, Read, Step
+
+    for mark in ("<div class='x'>", "<p>", "<li>", "<script>", "<!--", "<a ", "</b>", "<b>", "<div>t</p>"):
+        began, tree = time.time(), Page(mark * 30_000 + "end")
+        tree.read([Read((Step(("div",), says="none"),)), Read((), each=("p", "li"))])
+        assert time.time() - began < 5 and (mark == "<a " or tree.text().endswith("end"))
+
+
 def test_a_page_of_unclosed_tags(spark):
     got = pages.page_text(page(spark, "<div>" * 5000 + "deep")).first()
     assert got["body"] == "deep"
