@@ -455,7 +455,7 @@ def test_elements_end_at_their_own_end_tags(spark):
     loose = pages.page_text(page(spark, "<p>one<p>two <i>x</i><ul><li>a<li>b<ul><li>c</ul></ul><p>three</p>")).first()
     assert loose["paragraphs"] == "one two x a b c a b c three" and loose["body"] == "one two x a b c three"
     odd = pages.page_text(page(spark, "a < b <3 <!-- open <p>x</p> <script>y <title>T")).first()
-    assert (odd["title"], odd["paragraphs"], odd["body"]) == ("T", "x", "a < b <3 x y T")
+    assert (odd["title"], odd["paragraphs"], odd["body"]) == ("T", None, "a < b <3 x y T")  # the open comment ends at the next >
     empty = pages.page_text(page(spark, None)).first()
     assert (empty["title"], empty["body"], empty["paragraphs"]) == (None, "", None)
 
