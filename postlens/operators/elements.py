@@ -15,7 +15,7 @@ opened and closed once, and a mark that never ends is looked for once.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
 from typing import NamedTuple
@@ -32,7 +32,7 @@ UNSEEN = frozenset("script style template".split())
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 _LONGEST_ENTITY = max(len(entity) for entity, _ in ENTITIES)
-_NAME = re.compile(r"/?([a-zA-Z!][^\s>/]*)")
+_NAME = re.compile(r"/?([a-zA-Z!][^\s<>/]*)")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _BLANK = re.compile(r"[ \t\n\x0b\f\r]+")
 
@@ -89,6 +89,7 @@ class Page:
         self._written: list[int] | None = None  # characters that are not blank in the pieces before each
         self._parse(html)
         self._end_optional()
+        self._filled = [i for i, piece in enumerate(self.pieces) if _BLANK.sub("", piece)]
 
     def _parse(self, html: str) -> None:
         lower = html.lower() if len(html.lower()) == len(html) else html
@@ -170,7 +171,10 @@ class Page:
 
     def text(self, number: int | None = None) -> str:
         """Text of an element, or of the page; a tag parts words."""
-        return readable(" ".join(self.pieces if number is None else self.pieces[self.first[number] : self.last[number]]))
+        filled = self._filled
+        if number is not None:
+            filled = filled[bisect_left(filled, self.first[number]) : bisect_left(filled, self.last[number])]
+        return readable(" ".join([self.pieces[i] for i in filled]))
 
     def attribute(self, number: int, name: str) -> str | None:
         if name not in self.heads[number].lower():
