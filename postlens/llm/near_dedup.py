@@ -6,20 +6,25 @@ sets share a known number of retained values (`least_shared`), so they share one
 as leave no room for that number in the others. A list is a value among the rarest ones of its members.
 
 Every class is first paired with one leader, the one in the middle of its largest lists. What that links is one
-component, and then pairs are made across components only: with the leader of every list, and at last all members of
-every list, so a group of thousands of near copies costs a few pairs a member and no list is cut. A list of more than
-`LIST` classes is dealt into blocks, each pair of blocks being a task's group, which hands out the pairs that share as
-many values as they have to. Pairs that the union sketch rules out are dropped and links are confirmed on the full sets.
+component, and then pairs are made across components only. Lists of up to `LIST` classes hand out their pairs; those
+that the union sketch rules out are dropped and the rest are confirmed on the full sets. Longer lists come in bundles
+with nearly the same members (a group of near copies shares most of its values), so lists that share half of their
+members with a larger one are merged into it, and a pair meets once instead of once a list. A merged list is dealt into
+blocks of `BLOCK` classes; members of its largest component only meet the others, not each other. A task compares the
+full sets of one pair of blocks and hands out links that join components, at most one less than it has members, so a
+group of thousands of near copies costs a few rows a member and no list is cut.
 
 What can be missed: nothing if the sets are small (up to about 110 shingles at a limit of 0.75, the number of shared
 values is then certain); otherwise a pair at the limit with a probability below `MISS` = 1e-8 in all, since the keys,
-the blocks and the filter ask for the same number of shared values of the union sketch.
+the blocks and the filter ask for the same number of shared values of the union sketch. Sets beyond `WHOLE` shingles
+meet in long lists by their `WHOLE` smallest values, with the same bound, and are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +38,8 @@ from postlens.llm.words import Words, mix, range_hashes, run_hashes, split_words
 from postlens.session import materialise
 
 SHINGLE, PERCENT = 5, 75
-SKETCH, LIST, BLOCK, MISS = 64, 40, 256, 1e-8
+SKETCH, LIST, BLOCK, MISS = 64, 40, 1024, 1e-8
+WHOLE = 1024  # shingles of a set that long lists compare exactly
 RESULT = ("n_shingles", "component_id", "kept")
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -84,18 +90,41 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str])
     return rows.mapInArrow(sketch, schema)
 
 
-def sampled_least(percent: int) -> int:
-    """Number of values of a whole union sketch that similar sets share but for a probability below `MISS` (binomial,
-    which is above the hypergeometric one)."""
+def sampled_least(percent: int, sketch: int = SKETCH, union: int | None = None) -> int:
+    """Number of the `sketch` smallest values of a union that similar sets share but for a probability below `MISS`.
+
+    The values are a sample of the union, without return if its size is known (hypergeometric), else as if with return
+    (binomial, whose lower tail is the larger one).
+    """
     share, below, shared = percent / 100, 0.0, 0
-    while shared < SKETCH:
-        below += math.comb(SKETCH, shared) * share**shared * (1 - share) ** (SKETCH - shared)
+    common = None if union is None else math.ceil(union * share)
+    while shared < sketch:
+        if union is None:
+            below += math.comb(sketch, shared) * share**shared * (1 - share) ** (sketch - shared)
+        else:
+            below += math.comb(common, shared) * math.comb(union - common, sketch - shared) / math.comb(union, sketch)
         if below >= MISS:
             break
         shared += 1
     return shared
 
 
+@lru_cache(maxsize=8)
+def _least_by_size(percent: int) -> tuple[tuple[int, int], ...]:
+    """(largest set size, shared values) steps for sets larger than their sketch; larger sets are bounded as if infinite."""
+    steps: list[tuple[int, int]] = []
+    final, least = sampled_least(percent), SKETCH
+    for n in range(SKETCH + 1, 64 * SKETCH):
+        # The union is largest, and the sample of it least certain, where one set holds the other.
+        least = min(least, sampled_least(percent, SKETCH, n * 100 // percent))
+        if least <= final:
+            break
+        if steps and steps[-1][1] == least:
+            steps.pop()
+        steps.append((n, least))
+    return tuple(steps)
+
+
 def least_shared(n: Column, percent: int) -> Column:
     """Number of retained values that a set of n shingles shares with any similar set.
 
@@ -104,7 +133,10 @@ def least_shared(n: Column, percent: int) -> Column:
     """
     common = F.ceil(n * percent / 100 - 1e-9)
     certain = SKETCH - F.floor(n * (100 - percent) / percent + 1e-9)
-    return F.when(n <= SKETCH, F.least(common, certain)).otherwise(F.greatest(certain, F.lit(sampled_least(percent)))).cast("int")
+    sampled = F.lit(sampled_least(percent))
+    for largest, least in reversed(_least_by_size(percent)):
+        sampled = F.when(n <= largest, F.lit(least)).otherwise(sampled)
+    return F.when(n <= SKETCH, F.least(common, certain)).otherwise(F.greatest(certain, sampled)).cast("int")
 
 
 def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
@@ -132,13 +164,7 @@ def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
 def first_pairs(members: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of each class and the leader of most weight among its lists: one a class at most."""
     best = members.filter("class <> leader").groupBy("class").agg(F.max(F.struct("weight", "leader"))["leader"].alias("leader"))
-    return led_pairs(best)
-
-
-def led_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of a list's leader and each other member: as many as there are members at most."""
-    pair = [F.least("leader", "class").alias("a"), F.greatest("leader", "class").alias("b")]
-    return members.filter("class <> leader").select(*pair).distinct()
+    return best.select(F.least("leader", "class").alias("a"), F.greatest("leader", "class").alias("b")).distinct()
 
 
 def _pair(one: Column, two: Column) -> Column:
@@ -156,54 +182,135 @@ def placed_between(members: DataFrame, found: DataFrame) -> DataFrame:
     return materialise(placed.join(several.select("key"), "key"), "lists-between")
 
 
-def led_between(placed: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of a list's leader and each member that is in another component by now."""
-    of_leader = placed.filter("class = leader").select("key", F.col("component").alias("c_l"))
-    return led_pairs(placed.join(of_leader, "key").filter("component <> c_l"))
+def merged_lists(placed: DataFrame) -> DataFrame:
+    """(key, class, component): long lists, those that have half of their members in common with a larger one merged into it.
+
+    Each class names its largest list; a list goes to the one that most of its members name. Every pair of members of a
+    list is in the list that it went to.
+    """
+    home = placed.groupBy("class").agg(F.max(F.struct("size", "key"))["key"].alias("home"))
+    votes = placed.join(home, "class").groupBy("key", "home").agg(F.count("*").alias("n"))
+    chosen = votes.groupBy("key").agg(F.max(F.struct("n", "home")).alias("most"), F.sum("n").alias("size"))
+    goes_to = F.when(F.col("most.n") * 2 >= F.col("size"), F.col("most.home")).otherwise(F.col("key"))
+    chosen = materialise(chosen.select("key", goes_to.alias("to")), "merged-keys")
+    return materialise(placed.join(chosen, "key").select(F.col("to").alias("key"), "class", "component").distinct(), "merged-lists")
 
 
-def pairs_between(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a < b) of members of one list that are in different components by now, c_a and c_b.
+def dealt_blocks(merged: DataFrame) -> DataFrame:
+    """(key, i, j, own, class, component): members of merged lists in the pairs of blocks that have to meet.
 
-    Of long lists only the pairs that share as many retained values as similar sets do.
+    Blocks 0 .. r - 1 hold the members outside the list's largest component, the others those inside. A block of the
+    former meets itself and every other block (i >= j, j < r).
     """
-    short = _pairs_of_short(placed.filter(F.col("size") <= LIST))
-    return short.union(_pairs_of_long(placed.filter(F.col("size") > LIST), classes, percent)).distinct()
-
-
-def _pairs_of_long(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Each pair of blocks of a list is a group of its own, of twice BLOCK members or so."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = placed.withColumn("own", F.pmod(F.xxhash64("key", "class"), blocks).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    sets = classes.select("class", "_sketch", least_shared(F.col("_n"), percent).alias("least"))
-    dealt = dealt.join(sets, "class").select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "component", "least", "_sketch"
-    )
+    counts = merged.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("l"), F.sum("n").alias("n"))
+    blocks = largest.select(
+        "key",
+        F.col("l.component").alias("_main"),
+        F.ceil((F.col("n") - F.col("l.n")) / BLOCK).cast("int").alias("_r"),
+        F.ceil(F.col("l.n") / BLOCK).cast("int").alias("_m"),
+    ).filter("_r > 0")
+    rows = merged.join(materialise(blocks, "block-counts"), "key")
+    part = lambda n: F.pmod(F.xxhash64("key", "class"), n).cast("int")
+    inside = F.col("component") == F.col("_main")
+    rows = rows.withColumn("own", F.when(inside, F.col("_r") + part(F.col("_m"))).otherwise(part(F.col("_r"))))
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    as_second = F.transform(F.sequence(F.lit(0), F.least(F.col("own"), F.col("_r")) - 1), lambda j: pair(F.col("own"), j))
+    as_first = F.transform(F.sequence(F.col("own"), F.col("_r") + F.col("_m") - 1), lambda i: pair(i, F.col("own")))
+    met = F.when(F.col("own") == 0, as_first).when(inside, as_second).otherwise(F.concat(as_second, as_first))
+    return rows.select("key", F.explode(met).alias("p"), "own", "class", "component").select("key", "p.i", "p.j", "own", "class", "component")
+
+
+def wide_sets(texts: DataFrame) -> DataFrame:
+    """(class, n, values): the `WHOLE` smallest shingle hashes of each class, as bytes, and the size of its set."""
+
+    def cut(batches):
+        for batch in slices(batches, "text"):
+            sets = shingle_sets(split_words(batch["text"], lower=True))
+            columns = [batch["class"], pa.array([len(s) for s in sets], pa.int64()), pa.array([s[:WHOLE].tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "values"])
+
+    return texts.mapInArrow(cut, "class long, n long, values binary")
+
+
+def _shared_counts(sets: list[np.ndarray], first: np.ndarray) -> np.ndarray:
+    """Number of values that each of the sets named by `first` shares with every set."""
+    counts = [len(s) for s in sets]
+    values, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), counts)
+    twice = seen[column] > 1
+    row, column = row[twice], (np.cumsum(seen > 1) - 1)[column[twice]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(first), len(sets)), dtype=np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        low, high = np.searchsorted(column, [start, start + 2048])
+        held = np.zeros((len(sets), 2048), dtype=np.float32)
+        held[row[low:high], column[low:high] - start] = 1
+        shared += held[first] @ held.T
+    return shared
+
+
+def _joining(left: np.ndarray, right: np.ndarray) -> list[int]:
+    """Of links between components the positions of those that join what earlier ones have not."""
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            root[c] = root.get(root[c], root[c])
+            c = root[c]
+        return c
+
+    out = []
+    _, places = np.unique(np.stack([left, right], axis=1), axis=0, return_index=True)
+    for place in np.sort(places).tolist():
+        x, y = find(int(left[place])), find(int(right[place]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append(place)
+    return out
+
+
+def compared_blocks(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, c_a, c_b, estimate, sure): links across components, and pairs of large sets that may be links (not `sure`)."""
+    rows = dealt.join(sets, "class")
+    enough = sampled_least(percent, WHOLE)
 
     def compare(table: pa.Table) -> pa.Table:
-        own, node, component, least = (table[c].to_numpy() for c in ("own", "class", "component", "least"))
-        sketches = table["_sketch"].combine_chunks()
-        counts = np.diff(sketches.offsets.to_numpy())
-        values, column, seen = np.unique(sketches.flatten().to_numpy(), return_inverse=True, return_counts=True)
-        row = np.repeat(np.arange(len(node)), counts)
-        twice = seen[column] > 1
-        row, column = row[twice], (np.cumsum(seen > 1) - 1)[column[twice]]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        shared = np.zeros((len(node), len(node)), dtype=np.float32)
-        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
-            first, last = np.searchsorted(column, [start, start + 2048])
-            held = np.zeros((len(node), 2048), dtype=np.float32)
-            held[row[first:last], column[first:last] - start] = 1
-            shared += held @ held.T
-        enough = shared >= np.maximum(least[:, None], least[None, :])
-        apart = component[:, None] != component[None, :]
-        across = (own[:, None] != own[None, :]) | (own.min() == own.max())
-        x, y = np.nonzero(enough & apart & across & (node[:, None] < node[None, :]))
-        return pa.table({"a": node[x], "b": node[y], "c_a": component[x], "c_b": component[y]})
-
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, c_a long, c_b long")
+        own, node, component, n = (table[c].to_numpy() for c in ("own", "class", "component", "n"))
+        second = table["j"][0].as_py()
+        values = [np.frombuffer(v, dtype=np.uint64) for v in table["values"].to_pylist()]
+        first = np.flatnonzero(own == second)
+        out: dict[str, list] = {c: [] for c in ("a", "b", "c_a", "c_b", "estimate", "sure")}
+        for start in range(0, len(first), 512):
+            part = first[start : start + 512]
+            shared = _shared_counts(values, part)
+            whole = (n[part] <= WHOLE)[:, None] & (n <= WHOLE)[None, :]
+            link = (shared > 0) & (100 * shared >= percent * (n[part][:, None] + n[None, :] - shared)) & whole
+            maybe = (shared >= enough) & ~whole & (100 * np.minimum(n[part][:, None], n[None, :]) >= percent * np.maximum(n[part][:, None], n[None, :]))
+            apart = component[part][:, None] != component[None, :]
+            for kind, sure in ((link, True), (maybe, False)):
+                x, y = np.nonzero(kind & apart)
+                x = part[x]
+                if sure and len(x):
+                    kept = _joining(np.minimum(component[x], component[y]), np.maximum(component[x], component[y]))
+                    x, y = x[kept], y[kept]
+                else:
+                    once = (own[y] != second) | (node[x] < node[y])
+                    x, y = x[once], y[once]
+                turned = node[x] > node[y]
+                low, high = np.where(turned, y, x), np.where(turned, x, y)
+                out["a"] += node[low].tolist()
+                out["b"] += node[high].tolist()
+                out["c_a"] += component[low].tolist()
+                out["c_b"] += component[high].tolist()
+                out["estimate"] += [1.0] * len(low) if sure else (shared[np.searchsorted(part, x), y] / WHOLE).tolist()
+                out["sure"] += [sure] * len(low)
+        kinds = {"estimate": pa.float64(), "sure": pa.bool_()}
+        return pa.table({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()})
+
+    schema = "a long, b long, c_a long, c_b long, estimate double, sure boolean"
+    return rows.groupBy("key", "i", "j").applyInArrow(compare, schema)
 
 
 def _pairs_of_short(placed: DataFrame) -> DataFrame:
@@ -311,12 +418,20 @@ def near_duplicates(
     texts = materialise(_texts_of(docs, classes, _ends(pairs), id_col, text_col), "texts")
     links = materialise(confirmed(pairs, texts, percent), "links")
     found = components(links)
-    for pairs_of in (led_between, lambda placed: pairs_between(placed, classes, percent)):
-        members = placed_between(members, found)
-        left = materialise(estimated(pairs_of(members), classes, percent), "left")
-        if left.isEmpty():
-            continue
-        left = materialise(_between(left, found), "left")
+
+    members = placed_between(members, found)
+    merged = merged_lists(members.filter(F.col("size") > LIST))
+    crowded = materialise(_texts_of(docs, classes, merged.select("class").distinct(), id_col, text_col), "texts")
+    compared = materialise(compared_blocks(dealt_blocks(merged), materialise(wide_sets(crowded), "wide-sets"), percent), "compared")
+    sure = compared.filter("sure").select("a", "b")
+    if not sure.isEmpty():
+        links = links.union(sure)
+        found = components(links)
+
+    short = estimated(_pairs_of_short(members.filter(F.col("size") <= LIST)).distinct(), classes, percent)
+    left = short.unionByName(compared.filter("NOT sure").drop("sure")).select("a", "b", "estimate")
+    left = materialise(_between(left, found), "left")
+    if not left.isEmpty():
         wanted = _ends(left).join(texts, "class", "left_anti")
         texts = texts.union(materialise(_texts_of(docs, classes, wanted, id_col, text_col), "texts"))
         links = links.union(materialise(confirmed(_promising(left), texts, percent), "links"))

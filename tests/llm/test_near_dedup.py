@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from postlens.llm import near_dedup
@@ -48,9 +49,12 @@ def corpus(seed, groups=6, copies=12):
     return [(i + 10, t) for i, t in enumerate(docs)] + [(1, None), (2, ""), (3, " \n")]
 
 
-@pytest.mark.parametrize("seed, lists", [(1, 40), (2, 3)])
-def test_components_of_documents(spark, monkeypatch, seed, lists):
+@pytest.mark.parametrize("seed, lists, block, whole", [(1, 40, 1024, 1024), (2, 3, 4, 1024), (3, 2, 3, 20)])
+def test_components_of_documents(spark, monkeypatch, seed, lists, block, whole):
+    """Also with short lists and small blocks, and with sets that are larger than what blocks compare whole."""
     monkeypatch.setattr(near_dedup, "LIST", lists)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "WHOLE", whole)
     docs = corpus(seed)
     rows = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == brute(docs)
@@ -121,6 +125,14 @@ def test_a_chain_of_2000_versions_is_one_component(spark):
     assert {r.component_id for r in rows} == {1}
 
 
+def test_links_that_join_and_the_least_shared_values():
+    left, right = [5, 5, 7, 9, 5], [6, 6, 8, 5, 9]
+    assert near_dedup._joining(np.array(left), np.array(right)) == [0, 2, 3]
+    steps = near_dedup._least_by_size(75)
+    assert [least for _, least in steps] == sorted({least for _, least in steps}, reverse=True) and steps[-1][1] > 27
+    assert near_dedup.sampled_least(75, 64, 64) == 48 and near_dedup.sampled_least(75, 64, 10**9) == near_dedup.sampled_least(75)
+
+
 def test_large_sets_at_the_limit_pass_the_filter(spark):
     """Of sketches that share 27 to 34 values none is ruled out (34 values were 4 standard errors)."""
     assert near_dedup.sampled_least(75) == 27
