@@ -320,11 +320,15 @@ def _ctes() -> list[tuple[str, str]]:
     ]
 
 
-def with_ctes(final: str, upto: str = "fact") -> str:
-    """`final` preceded by the CTEs down to `upto`."""
+def cte_names() -> list[str]:
+    return [name for name, _ in _ctes()]
+
+
+def with_ctes(final: str, upto: str = "fact", materialized: bool = False) -> str:
+    """`final` preceded by the CTEs down to `upto`, each of them computed once if `materialized`."""
     parts = []
     for name, body in _ctes():
-        parts.append(f"{name} AS ({body})")
+        parts.append(f"{name} AS {'MATERIALIZED ' if materialized else ''}({body})")
         if name == upto:
             break
     return "WITH " + ",\n".join(parts) + "\n" + final

@@ -8,7 +8,8 @@ from postlens.catalog.operators import DELTA, _delta, _target
 from postlens.catalog.registry import query, table
 from postlens.operators import merge, throttle
 from postlens.session import fresh_path
-from postlens.streaming.ingest import ingest_stream, read_version, version_path
+from postlens.sources.buckets import BucketedTable
+from postlens.streaming.ingest import ingest_stream
 from postlens.streaming.throttle import throttle_stream
 
 # Three requests per hour, so that the sparse events run into the limit.
@@ -88,17 +89,37 @@ def throttle_sliding_stream(spark, sf_dir):
         FROM (SELECT * FROM orders WHERE o_orderstatus <> 'P') t FULL JOIN ({DELTA}) d USING (o_orderkey)""",
 )
 def stream_upsert(spark, sf_dir):
-    """Changed orders land as JSON files and are upserted, one micro-batch per file."""
-    base, landing = fresh_path(spark, "orders"), fresh_path(spark, "landing")
+    """Changed orders land as JSON files and are upserted into a bucketed table, one micro-batch per file."""
+    landing = fresh_path(spark, "landing")
     columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
     target = _target(spark, sf_dir).select(*columns)
-    target.write.parquet(version_path(base, 0))
+    orders = BucketedTable(spark, fresh_path(spark, "orders"), target.schema, ["o_orderkey"], 16)
+    orders.create(target)
     _delta(spark, sf_dir).select(*columns).repartition(2, "o_orderkey").write.json(landing)
+    ingest_stream(spark, landing, target.schema, orders, fresh_path(spark, "stream"), _upsert_price, files_per_batch=1)
+    return orders.read()
 
-    def apply(state, batch):
-        batch = batch.withColumn("seq", F.lit(1))
-        return merge.upsert_latest(state, batch, "o_orderkey", "seq", ["o_totalprice"], {"o_orderstatus": F.lit("new")})
 
-    checkpoint = fresh_path(spark, "stream")
-    latest = ingest_stream(spark, landing, target.schema, base, checkpoint, apply, files_per_batch=1)
-    return read_version(spark, base, latest)
+def _upsert_price(state, batch):
+    batch = batch.withColumn("seq", F.lit(1))
+    return merge.upsert_latest(state, batch, "o_orderkey", "seq", ["o_totalprice"], {"o_orderstatus": F.lit("new")})
+
+
+@query(
+    "bucketed_merge",
+    f"""SELECT o_orderkey, coalesce(d.o_totalprice, t.o_totalprice) AS o_totalprice,
+        CASE WHEN t.o_orderkey IS NULL THEN 'new' ELSE t.o_orderstatus END AS o_orderstatus
+        FROM (SELECT * FROM orders WHERE o_orderstatus <> 'P') t FULL JOIN ({DELTA}) d USING (o_orderkey)
+        UNION ALL SELECT -o_orderkey, o_totalprice, 'appended' FROM orders WHERE o_orderstatus = 'P'""",
+)
+def bucketed_merge(spark, sf_dir):
+    """The same change twice, which changes nothing more, and new rows appended; only touched buckets are written."""
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    target = _target(spark, sf_dir).select(*columns)
+    orders = BucketedTable(spark, fresh_path(spark, "orders"), target.schema, ["o_orderkey"], 16)
+    orders.create(target)
+    for _ in range(2):
+        orders.merge(_delta(spark, sf_dir).select(*columns), _upsert_price)
+    more = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    orders.append(more.select((-F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice", F.lit("appended").alias("o_orderstatus")))
+    return orders.read()

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postlens import fixed_values as fv
@@ -133,6 +134,40 @@ def require(df: DataFrame, checks: Sequence[Check], name: str) -> DataFrame:
     return df
 
 
+@dataclass(frozen=True)
+class Measured:
+    """Checks that are counted while a table is written (`observed` is what to write)."""
+
+    observed: DataFrame
+    checks: Sequence[Check]
+    name: str
+    metrics: Observation
+
+    def require(self, written: DataFrame) -> DataFrame:
+        """Return the written table when it passes; raise as the function `require` does otherwise.
+
+        Row counts, NULLs and patterns were counted by the write itself. A unique column is grouped by its own pass over
+        that column; samples are only looked for when something failed.
+        """
+        seen = self.metrics.get
+        unique = [c.column for c in self.checks if c.kind == "unique"]
+        failed = not seen["rows"] or any(seen[f"check_{i}"] for i, c in enumerate(self.checks) if c.kind in ("not_null", "matches"))
+        failed = failed or any(c.kind == "row_count" and not _holds(seen["rows"], c) for c in self.checks)
+        failed = failed or any(not repeated_keys(written, [column]).isEmpty() for column in unique)
+        return require(written, self.checks, self.name) if failed else written
+
+
+def _holds(rows: int, check: Check) -> bool:
+    return rows >= check.low and (check.high is None or rows <= check.high)
+
+
+def measured(df: DataFrame, checks: Sequence[Check], name: str) -> Measured:
+    """`df` with its checks counted by whatever writes it, in the same job."""
+    metrics = Observation(f"{name}-{uuid.uuid4().hex}")
+    counts = [F.count_if(_row_failure(c)).alias(f"check_{i}") for i, c in enumerate(checks) if c.kind in ("not_null", "matches")]
+    return Measured(df.observe(metrics, F.count(F.lit(1)).alias("rows"), *counts), checks, name, metrics)
+
+
 def _not_null(*columns: str) -> list[Check]:
     return [Check("not_null", c) for c in columns]
 

@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens import fixed_values as fv
 from postlens.operators.keys import dedupe_first
 from postlens.operators.merge import upsert_latest
-from postlens.operators.quality import MODEL_CHECKS, Check, QualityError, require, required_gate
+from postlens.operators.quality import MODEL_CHECKS, Check, QualityError, measured, require, required_gate
 from postlens.operators.vectors import embed_text
 from postlens.plans import audit, gold, reports, silver
 from postlens.plans.bronze import merge_bronze, stg_board_a_jobs, stg_board_b_jobs
@@ -59,6 +60,25 @@ class Store:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def append(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Add the rows of this run to a table that only grows; returns the whole table. What earlier runs wrote stays.
+
+        A run that is repeated replaces its own rows.
+        """
+        df.write.mode("overwrite").parquet(self.path(layer, name, self.run))
+        return self._runs(layer, name, df.schema).drop("run")
+
+    def grown(self, layer: str, name: str) -> DataFrame | None:
+        """A table that only grows, without the rows of this run."""
+        if not self.previous:
+            return None
+        schema = self.spark.read.parquet(self.path(layer, name, self.previous)).schema
+        return self._runs(layer, name, schema).filter(F.col("run") != self.run).drop("run")
+
+    def _runs(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
+        runs = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
+        return self.spark.read.schema(runs).parquet(f"{self.base.rstrip('/')}/{layer}/{name}")
+
     def before(self, layer: str, name: str) -> DataFrame | None:
         """The table as the previous run left it."""
         return self.spark.read.parquet(self.path(layer, name, self.previous)) if self.previous else None
@@ -127,10 +147,16 @@ def build_all(
     built: dict[str, DataFrame] = {}
 
     def add(layer: str, name: str, df: DataFrame) -> DataFrame:
-        written = store.write(layer, name, df)
-        built[name] = require(written, MODEL_CHECKS[name], name) if name in MODEL_CHECKS else written
+        counted = measured(df, MODEL_CHECKS.get(name, ()), name)
+        written = store.write(layer, name, counted.observed)
+        built[name] = counted.require(written) if name in MODEL_CHECKS else written
         return written
 
+    def extend(layer: str, name: str, fresh: DataFrame) -> DataFrame:
+        whole = store.append(layer, name, fresh)
+        built[name] = require(whole, MODEL_CHECKS[name], name) if name in MODEL_CHECKS else whole
+        return whole
+
     for name, model, staging in (
         ("stg_board_a_jobs", stg_board_a_jobs, staging_a),
         ("stg_board_b_jobs", stg_board_b_jobs, staging_b),
@@ -150,15 +176,12 @@ def build_all(
         add("reports", name, report(built[dimension], fact))
     for name, report in FACT_REPORTS.items():
         add("reports", name, report(fact))
-    known = store.before("vector_db", "vector_db")
-    fresh = store.write("vector_db_new", "vector_db", vector_db(fact, jobs, known))
-    texts = add("vector_db", "vector_db", fresh if known is None else known.unionByName(fresh))
+    texts = extend("vector_db", "vector_db", vector_db(fact, jobs, store.grown("vector_db", "vector_db")))
     if embedder is not None:
-        held = store.before("collection", "embeddings")
+        held = store.grown("collection", "embeddings")
         rows = texts.select("job_id", "embedding_text")
         new = rows if held is None else rows_to_embed(rows, held, F.col("job_id"))
-        embedded = embed_text(new, "embedding_text", embedder).select("job_id", "embedding")
-        add("collection", "embeddings", embedded if held is None else held.unionByName(embedded))
+        extend("collection", "embeddings", embed_text(new, "embedding_text", embedder).select("job_id", "embedding"))
     if runs is not None:
         add("audit", "job_elt_summary", audit.job_elt_summary(runs, dag))
         add("audit", "task_performance", audit.task_performance(runs, dag))

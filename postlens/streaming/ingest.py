@@ -2,65 +2,42 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-
-def version_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/version={version:08d}"
-
-
-def read_version(spark: SparkSession, base: str, version: int) -> DataFrame | None:
-    """A version of the table, None when it was never written."""
-    try:
-        return spark.read.parquet(version_path(base, version))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def latest_version(spark: SparkSession, base: str) -> int:
-    """Number of the newest version that is stored, 0 when there is none."""
-    try:
-        files = spark.read.parquet(base).inputFiles()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return 0
-    return max((int(m[1]) for f in files if (m := re.search(r"/version=(\d+)/", f))), default=0)
+from postlens.sources.buckets import BucketedTable
 
 
 def ingest_stream(
     spark: SparkSession,
     landing: str,
     schema: T.StructType,
-    base: str,
+    table: BucketedTable,
     checkpoint: str,
-    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+    step: Callable[[DataFrame, DataFrame], DataFrame],
     files_per_batch: int = 1000,
+    unique: Sequence[str] | None = None,
+    event_time: str | None = None,
+    lateness: str = "1 day",
 ) -> int:
-    """Process every landed file not seen yet, then return the number of the latest table version (also when nothing was new).
+    """Process every landed file not seen yet into `table`; returns the number of rewritten buckets.
 
-    Micro-batch `n` reads version `n`, merges and writes version `n + 1`; version 0 is the state before the first
-    batch, if any. A repeated batch reads the same input version and replaces its own output, so a batch that is
-    retried after a failure changes nothing. On a table format with MERGE, `merge` becomes that statement.
+    A micro-batch reads and rewrites the buckets that its keys touch (`BucketedTable.merge`), so its cost follows the
+    batch, not the table. `step` must be an upsert by key, as a batch that is retried after a failure is merged again.
+    With `event_time`, records that repeat the `unique` columns (default: the table's keys) within `lateness` are merged
+    once, whatever batches they land in; the stream forgets them when the watermark has passed.
     """
+    rewritten = 0
 
     def write(batch: DataFrame, number: int) -> None:
-        merged = merge(read_version(spark, base, number), batch)
-        merged.write.mode("overwrite").parquet(version_path(base, number + 1))
+        nonlocal rewritten
+        rewritten += len(table.merge(batch, step))
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    if event_time is not None:
+        stream = stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(unique or table.keys))
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return latest_version(spark, base)
+    return rewritten

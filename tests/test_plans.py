@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens import fixed_values as fv
 from postlens.catalog import fixture as fx
@@ -12,7 +13,8 @@ from postlens.operators import quality
 from postlens.operators.vectors import embed_text
 from postlens.plans import alerts, build, embedding, retrieval
 from postlens.sources import schemas, tables
-from postlens.streaming.ingest import ingest_stream, read_version
+from postlens.sources.buckets import BucketedTable
+from postlens.streaming.ingest import ingest_stream
 
 
 def rows(df, *order):
@@ -49,6 +51,43 @@ def test_build_stops_at_a_layer_that_fails(spark, sf, tmp_path):
     assert not (tmp_path / "silver").exists()
 
 
+def test_checks_are_counted_by_the_write(spark, tmp_path):
+    """A table that passes is written by one job and not read for its row checks; a failure names its values."""
+    checks = [quality.Check("row_count", high=3), quality.Check("not_null", "k"), quality.Check("matches", "k", "^a")]
+    good = spark.createDataFrame([("a1",), ("a2",)], "k string")
+
+    def jobs(tag, run):
+        spark.sparkContext.setJobGroup(tag, tag)
+        try:
+            return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+        finally:
+            spark.sparkContext.setJobGroup("other", "other")
+
+    def write_checked(df, name, wanted):
+        counted = quality.measured(df, wanted, name)
+        counted.observed.write.parquet(str(tmp_path / name))
+        return counted.require(spark.read.schema(df.schema).parquet(str(tmp_path / name)))
+
+    written, n = jobs("checked", lambda: write_checked(good, "good", checks))
+    assert n == 1 and written.count() == 2
+    for name, rows_, wanted in (
+        ("nulls", [("a",), (None,)], "not_null k"), ("wrong", [("a",), ("b",)], r"matches k .*'b'"), ("many", [("a",)] * 4, "row_count"),
+        ("twice", [("a",), ("a",)], "unique k"), ("none", [], "no records"),
+    ):
+        with pytest.raises(quality.QualityError, match=wanted):
+            write_checked(spark.createDataFrame(rows_, "k string"), name, [*checks, quality.Check("unique", "k")])
+
+
+def test_tables_that_grow_keep_what_is_stored(spark, tmp_path):
+    one, two = build.Store(spark, str(tmp_path), "1"), build.Store(spark, str(tmp_path), "02", "1")
+    assert one.grown("l", "t") is None and one.append("l", "t", spark.range(3)).count() == 3
+    stored = files_of(tmp_path / "l")
+    for _ in range(2):  # a repeated run replaces its own rows
+        assert two.grown("l", "t").count() == 3
+        assert rows(two.append("l", "t", spark.range(3, 5)), "id") == [(i,) for i in range(5)]
+    assert stored.items() <= files_of(tmp_path / "l").items()
+
+
 def test_build_takes_its_mappings_from_seeds(spark, sf, tmp_path):
     a, b, logos = staged(spark, sf)
     (tmp_path / "job_category_mapping.csv").write_text('pattern,target_job_category\n(?i)\\bpower\\s*bi\\b,Charts\n"(data|""x""), none",None\n')
@@ -180,22 +219,74 @@ def test_retrieval_end_to_end_with_the_default_embedder(spark):
 # ---- streaming -----------------------------------------------------------------------------
 
 
+def replace_by_url(state, batch):
+    return state.join(batch.select("url"), "url", "left_anti").unionByName(batch.dropDuplicates(["url"]))
+
+
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
 def test_ingest_stream_picks_up_new_files_only(spark, tmp_path):
-    schema = "url string, v int"
-    landing, base, checkpoint = (str(tmp_path / n) for n in ("landing", "table", "checkpoint"))
+    schema = T._parse_datatype_string("url string, v int")
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    table = BucketedTable(spark, str(tmp_path / "table"), schema, ["url"], 8)
     seen = []
 
     def apply(state, batch):
         seen.append(batch.count())
-        return batch if state is None else state.join(batch.select("url"), "url", "left_anti").unionByName(batch)
-
-    from pyspark.sql import types as T
-
-    kind = T._parse_datatype_string(schema)
-    spark.createDataFrame([("a", 1), ("b", 1)], schema).coalesce(1).write.mode("append").json(landing)
-    one = ingest_stream(spark, landing, kind, base, checkpoint, apply)
-    spark.createDataFrame([("b", 2)], schema).coalesce(1).write.mode("append").json(landing)
-    two = ingest_stream(spark, landing, kind, base, checkpoint, apply)
-    assert (one, two) == (1, 2) and seen == [2, 1]
-    assert rows(read_version(spark, base, two), "url") == [("a", 1), ("b", 2)]
-    assert ingest_stream(spark, landing, kind, base, checkpoint, apply) == two  # nothing new
+        return replace_by_url(state, batch)
+
+    land = lambda *pairs: spark.createDataFrame(list(pairs), schema).coalesce(1).write.mode("append").json(landing)
+    land(("a", 1), ("b", 1))
+    assert ingest_stream(spark, landing, schema, table, checkpoint, apply) == len({r[0] for r in table._scan().select("_bucket").collect()})
+    land(("b", 2))
+    assert ingest_stream(spark, landing, schema, table, checkpoint, apply) == 1 and seen == [2, 1]
+    assert rows(table.read(), "url") == [("a", 1), ("b", 2)]
+    assert ingest_stream(spark, landing, schema, table, checkpoint, apply) == 0  # nothing new
+    assert rows(table.read(), "url") == [("a", 1), ("b", 2)]
+
+
+def test_repeated_records_of_several_batches_are_merged_once(spark, tmp_path):
+    schema = T._parse_datatype_string("url string, at timestamp, v int")
+    landing, checkpoint, merged = str(tmp_path / "landing"), str(tmp_path / "checkpoint"), []
+    table = BucketedTable(spark, str(tmp_path / "table"), schema, ["url"], 4)
+
+    def apply(state, batch):
+        merged.extend(r["url"] for r in batch.collect())
+        return replace_by_url(state, batch)
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    for records in ([("a", day(1), 1), ("b", day(1), 1)], [("a", day(1), 1), ("c", day(2), 1)], [("b", day(1), 1), ("d", day(20), 1)], [("d", day(20), 1)]):
+        spark.createDataFrame(records, schema).coalesce(1).write.mode("append").json(landing)
+        ingest_stream(spark, landing, schema, table, checkpoint, apply, event_time="at", lateness="2 days")
+    assert sorted(merged) == ["a", "b", "c", "d"] and table.read().count() == 4
+
+
+def test_a_merge_writes_only_the_buckets_it_touches(spark, tmp_path):
+    schema = T._parse_datatype_string("url string, v int")
+    table = BucketedTable(spark, str(tmp_path / "table"), schema, ["url"], 32)
+    table.create(spark.createDataFrame([(f"u{i}", i) for i in range(2000)], schema))
+    before = files_of(tmp_path / "table")
+    change = spark.createDataFrame([("u7", -1), ("u8", -2), ("new", -3)], schema)
+    touched = table.merge(change, replace_by_url)
+    after = files_of(tmp_path / "table")
+    folders = lambda names: {n.split("/")[0] for n in names}
+    assert 1 <= len(touched) <= 3 and folders(before.keys() ^ after.keys()) == {f"_bucket={b}" for b in touched}
+    assert all(after[n] == t for n, t in before.items() if n in after) and len(after) == len(before)
+    once = rows(table.read(), "url")
+    table.merge(change, replace_by_url)
+    assert rows(table.read(), "url") == once and len(once) == 2001 and len(files_of(tmp_path / "table")) == len(before)
+
+
+def test_buckets_that_become_empty_and_wrong_steps(spark, tmp_path):
+    schema = T._parse_datatype_string("url string, v int")
+    table = BucketedTable(spark, str(tmp_path / "table"), schema, ["url"], 4)
+    assert table.read().collect() == [] and table.merge(spark.createDataFrame([], schema), replace_by_url) == []
+    table.merge(spark.createDataFrame([("a", 1), (None, 2)], schema), lambda state, new: state.unionByName(new))
+    assert sorted(rows(table.read()), key=str) == [("a", 1), (None, 2)]
+    table.merge(spark.createDataFrame([("a", 1)], schema), lambda state, new: state.join(new, "url", "left_anti"))
+    assert rows(table.read()) == [(None, 2)]
+    with pytest.raises(ValueError, match="not among"):
+        table.merge(spark.createDataFrame([("a", 1)], schema), lambda state, new: spark.range(99).selectExpr("'k' || id AS url", "1 AS v"))
+
