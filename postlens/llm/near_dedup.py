@@ -360,7 +360,8 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
+    """The pairs, with what they carry, whose full shingle sets are similar enough."""
+    carried = pairs.columns
     side = lambda name: texts.select(F.col("class").alias(name), F.col("text").alias(f"t_{name}"))
 
     def confirm(batches):
@@ -371,30 +372,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for x, y in zip(left, right):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(carried).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(confirm, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(confirm, pairs.schema)
 
 
 def _between(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of different components, with both components as c_a and c_b."""
     side = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
-    both = pairs.select("a", "b", "estimate").join(side("a"), "a", "left").join(side("b"), "b", "left")
+    both = pairs.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
     both = both.withColumns({"c_a": F.coalesce("c_a", "a"), "c_b": F.coalesce("c_b", "b")})
     return both.filter("c_a <> c_b")
 
 
-def _promising(pairs: DataFrame) -> DataFrame:
-    """Of each component its pair with the smallest likely neighbour, and its likeliest pair."""
-    ends = pairs.select("a", "b", F.col("c_a").alias("c"), F.col("c_b").alias("to"), "estimate").union(
-        pairs.select("a", "b", F.col("c_b"), F.col("c_a"), "estimate")
-    )
-    pair = F.struct("a", "b")
-    best = ends.groupBy("c").agg(
-        F.min(F.when(F.col("estimate") >= 0.75, F.struct("to", pair.alias("pair")))).alias("x"),
-        F.max(F.struct("estimate", pair.alias("pair"))).alias("y"),
-    )
-    return best.select(F.explode(F.array("x.pair", "y.pair")).alias("p")).filter("p IS NOT NULL").select("p.a", "p.b").distinct()
+def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after links between components (c_a, c_b); a class in no component so far is its own."""
+    merged = components(links.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    known = found.join(merged, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    single = merged.join(found.select(F.col("node").alias("component")), "component", "left_anti")
+    return materialise(known.union(single.select("component", "to")), "components")
 
 
 def near_duplicates(
@@ -416,30 +413,20 @@ def near_duplicates(
     members = inverted_lists(classes, percent)
     pairs = materialise(estimated(first_pairs(members), classes, percent), "led")
     texts = materialise(_texts_of(docs, classes, _ends(pairs), id_col, text_col), "texts")
-    links = materialise(confirmed(pairs, texts, percent), "links")
-    found = components(links)
+    found = materialise(components(confirmed(pairs.select("a", "b"), texts, percent)), "components")
 
     members = placed_between(members, found)
     merged = merged_lists(members.filter(F.col("size") > LIST))
     crowded = materialise(_texts_of(docs, classes, merged.select("class").distinct(), id_col, text_col), "texts")
     compared = materialise(compared_blocks(dealt_blocks(merged), materialise(wide_sets(crowded), "wide-sets"), percent), "compared")
-    sure = compared.filter("sure").select("a", "b")
-    if not sure.isEmpty():
-        links = links.union(sure)
-        found = components(links)
+    found = joined_components(found, compared.filter("sure"))
 
     short = estimated(_pairs_of_short(members.filter(F.col("size") <= LIST)).distinct(), classes, percent)
-    left = short.unionByName(compared.filter("NOT sure").drop("sure")).select("a", "b", "estimate")
+    left = short.unionByName(compared.filter("NOT sure").drop("sure")).select("a", "b")
     left = materialise(_between(left, found), "left")
-    if not left.isEmpty():
-        wanted = _ends(left).join(texts, "class", "left_anti")
-        texts = texts.union(materialise(_texts_of(docs, classes, wanted, id_col, text_col), "texts"))
-        links = links.union(materialise(confirmed(_promising(left), texts, percent), "links"))
-        found = components(links)
-        left = materialise(_between(left, found), "left")
-        if not left.isEmpty():
-            links = links.union(materialise(confirmed(left, texts, percent), "links"))
-            found = components(links)
+    wanted = _ends(left).join(texts, "class", "left_anti")
+    texts = texts.union(materialise(_texts_of(docs, classes, wanted, id_col, text_col), "texts"))
+    found = joined_components(found, materialise(confirmed(left, texts, percent), "links"))
     smallest = classes.join(found, classes["class"] == found["node"], "left").select(
         *own, "id", F.coalesce("component", "class").alias("component")
     )
