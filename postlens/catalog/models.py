@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from postlens.catalog import fixture as fx
 from postlens.catalog.fixture import key_sql, with_ctes
 from postlens.catalog.registry import query
@@ -121,6 +123,16 @@ def dim_work_model(spark, sf_dir):
     return gold.dim_work_model(fx.unified(spark, sf_dir)).drop(NO_LOAD)
 
 
+@query(
+    "load_time",
+    "SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS dbt_load_timestamp FROM (" + _dim_sql("work_model_normalized", "work_model_id", MODEL_EXTRA) + ")",
+)
+def load_time(spark, sf_dir):
+    """A model with its load time, which the other registered models leave out."""
+    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return gold.dim_work_model(fx.unified(spark, sf_dir).drop(NO_LOAD), stamp)
+
+
 @query("fct_jobs", with_ctes(f"SELECT * EXCLUDE ({NO_LOAD}) FROM fact"))
 def fct_jobs(spark, sf_dir):
     return fx.fact(spark, sf_dir).drop(NO_LOAD)

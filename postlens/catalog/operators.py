@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens import fixed_values as fv
 from postlens.catalog import fixture as fx
@@ -45,6 +46,30 @@ def landing_roundtrip(spark, sf_dir):
     return tables.read_landing(spark, path, schemas.CRAWL_A)
 
 
+@query(
+    "landing_rescue",
+    """SELECT s_suppkey::BIGINT AS id, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_nationkey::INTEGER END AS code,
+         CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal::DOUBLE END AS rescued_balance,
+         CASE WHEN s_suppkey % 3 = 0 THEN concat('n', s_nationkey::VARCHAR) END AS rescued_code FROM supplier""",
+)
+def landing_rescue(spark, sf_dir):
+    """Records some of which have a field the schema does not know, or text where it has a number."""
+    suppliers = table(spark, sf_dir, "supplier")
+    known = (F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    balance = F.when(F.col("s_suppkey") % 2 == 0, F.col("s_acctbal").cast("double")).alias("balance")
+    typed = F.to_json(F.struct(*known, balance, F.col("s_nationkey").alias("code")))
+    drifted = F.to_json(F.struct(*known, balance, F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("code")))
+    landing = fresh_path(spark, "landing")
+    suppliers.select(F.when(F.col("s_suppkey") % 3 == 0, drifted).otherwise(typed).alias("value")).write.text(landing)
+    schema = T._parse_datatype_string("id bigint, name string, code int")
+    read = tables.read_rescued(spark, landing, schema)
+    return read.select(
+        "id", "name", "code",
+        F.try_variant_get("_rescued", "$.balance", "double").alias("rescued_balance"),
+        F.try_variant_get("_rescued", "$.code", "string").alias("rescued_code"),
+    )
+
+
 @query("seed_load", "SELECT n_name AS pattern, n_nationkey AS code FROM nation")
 def seed_load(spark, sf_dir):
     path = fresh_path(spark, "seed")

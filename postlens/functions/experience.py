@@ -8,29 +8,25 @@ from pyspark.sql import functions as F
 from postlens import fixed_values as fv
 from postlens.functions.text import col, first_group
 
-# Tried in this order: (test, extraction, what is appended). A test that passes while its extraction finds
-# nothing gives NULL, and does not move on to the next one.
+#: Forms tried in this order, as (extraction, what is appended).
 _FLAGS = r"(?iU)"
 _FORMS = (
-    (r"\d+\s*(-|–|đến|to)\s*\d+\+?\s*(năm|years?)", r"(\d+\s*(?:-|–|đến|to)\s*\d+\+?)\s*(?:năm|years?)", ""),
-    (r"\d+\s*\+\s*(năm|years|year?)", r"(\d+\s*\+)\s*(?:năm|years?)", ""),
-    (r"(dưới|below|less than)\s*\d+\s*(năm|years?)", r"(?:dưới|below|less than)\s*(\d+)\s*(?:năm|years?)", "-"),
-    (
-        r"(tối thiểu|ít nhất|trên|at least|minimum)\s*\d+\s*(năm|years?)",
-        r"(?:tối thiểu|ít nhất|trên|at least|minimum)\s*(\d+)\s*(?:năm|years?)",
-        "+",
-    ),
-    (r"\d+\s*(năm|years?)", r"(\d+)\s*(?:năm|years?)", ""),
+    (r"(\d+\s*(?:-|–|đến|to)\s*\d+\+?)\s*(?:năm|years?)", ""),
+    (r"(\d+\s*\+)\s*(?:năm|years?)", ""),
+    (r"(?:dưới|below|less than)\s*(\d+)\s*(?:năm|years?)", "-"),
+    (r"(?:tối thiểu|ít nhất|trên|at least|minimum)\s*(\d+)\s*(?:năm|years?)", "+"),
+    (r"(\d+)\s*(?:năm|years?)", ""),
 )
+#: Fixed value: a form that is recognised, though nothing is extracted from it.
+_CUT_SHORT = r"\d+\s*\+\s*yea"
 
 
 def extract_experience(text: Column | str) -> Column:
+    """The first form found in the text; each pattern runs once. A `n+ yea` that is no `year` gives NULL."""
     text = col(text)
-    result = F.lit(fv.UNKNOWN)
-    for test, extraction, suffix in reversed(_FORMS):
-        found = F.concat(first_group(text, _FLAGS + extraction), F.lit(suffix))
-        result = F.when(text.rlike(_FLAGS + test), found).otherwise(result)
-    return result
+    found = [F.concat(first_group(text, _FLAGS + pattern), F.lit(suffix)) for pattern, suffix in _FORMS]
+    later = F.when(text.rlike(_FLAGS + _CUT_SHORT), F.lit(None)).otherwise(F.coalesce(*found[2:], F.lit(fv.UNKNOWN)))
+    return F.coalesce(*found[:2], later)
 
 
 def years_normalized(text: Column | str) -> Column:

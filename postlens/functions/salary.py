@@ -20,9 +20,7 @@ def _bound(text: Column | str, alternatives: list[tuple[str, int]], usd_rate: in
     """First alternative whose pattern matches, in VND; a blank or negotiable text matches none."""
     low = F.lower(col(text))
     unit = F.when(F.contains(low, F.lit("usd")), F.lit(usd_rate)).otherwise(F.lit(fv.MILLION)).cast("bigint")
-    amount = F.lit(None).cast("int")
-    for pattern, group in reversed(alternatives):
-        amount = F.when(low.rlike(pattern), first_group(low, pattern, group).try_cast("int")).otherwise(amount)
+    amount = F.coalesce(*[first_group(low, pattern, group) for pattern, group in alternatives]).try_cast("int")
     return amount.cast("bigint") * unit
 
 

@@ -8,10 +8,14 @@ conditions share one `FILTER`ed distinct set, so rows are expanded once per dist
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.operators.ranking import rank_few, rank_many
+from postlens.session import materialise
 
 REMOTE, HYBRID, ON_SITE = (f"work_model_normalized = '{m}'" for m in ("Remote", "Hybrid", "On-Site"))
 FULL_TIME = "work_arrangement_normalized = 'Full-time'"
@@ -247,16 +251,26 @@ def rpt_platform_comparison(fact: DataFrame) -> DataFrame:
 def exact_quartiles(fact: DataFrame, key: str, value: str, fractions: dict[str, float]) -> DataFrame:
     """Smallest value whose cumulative share reaches each fraction, per key.
 
-    Equal values are counted before the shuffle, so the running sum sees one row per distinct value.
+    Equal values are counted before the shuffle, and the counts are laid out in ranges of (key, value), so a key with most
+    of the values lies in many of them. The sums of the ranges tell in which one each fraction is reached; only those
+    ranges are looked into, each for itself.
     """
-    counted = fact.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
-    running = Window.partitionBy(key).orderBy(value)
-    total = Window.partitionBy(key)
-    placed = counted.select(
-        key, value, F.sum("_n").over(running).alias("_upto"), F.sum("_n").over(total).alias("_all")
-    )
-    reached = lambda f: F.min(F.when(F.col("_upto") >= F.col("_all") * F.lit(f), F.col(value)))
-    return placed.groupBy(key).agg(*[reached(f).alias(name) for name, f in fractions.items()])
+    counted = fact.filter(F.col(value).isNotNull()).groupBy(F.col(key).alias("_key"), F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    ranged = materialise(counted.repartitionByRange("_key", "_value").withColumn("_range", F.spark_partition_id()), "quartile-ranges")
+    of_key = Window.partitionBy("_key")
+    earlier = of_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_key", "_range").agg(F.sum("_n").alias("_n"))
+    sums = sums.select(
+        F.col("_key").alias("_k"), F.col("_range").alias("_r"), "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_n").over(of_key).alias("_all"),
+    )
+    reached = [F.col("_all") * F.lit(f) for f in fractions.values()]
+    deciding = sums.filter(reduce(or_, [(F.col("_before") < at) & (F.col("_before") + F.col("_n") >= at) for at in reached])).drop("_n")
+    inside = Window.partitionBy("_range", "_key").orderBy("_value")
+    looked = ranged.join(deciding, (F.col("_range") == F.col("_r")) & F.col("_key").eqNullSafe(F.col("_k")))
+    placed = looked.select("_key", "_value", "_all", (F.col("_before") + F.sum("_n").over(inside)).alias("_upto"), "_before")
+    first = lambda at: F.min(F.when((F.col("_upto") >= at) & (F.col("_before") < at), F.col("_value")))
+    return placed.groupBy(F.col("_key").alias(key)).agg(*[first(at).alias(name) for at, name in zip(reached, fractions)])
 
 
 def rpt_salary_benchmark(dim_salary_band: DataFrame, fact: DataFrame, exact: bool = False) -> DataFrame:

@@ -34,6 +34,33 @@ def read_landing(spark: SparkSession, path: str | None, schema: T.StructType, ar
     return spark.createDataFrame([], schema)
 
 
+def read_rescued(spark: SparkSession, path: str | None, schema: T.StructType, rescue: str = "_rescued") -> DataFrame:
+    """Read landed JSON lines whose fields drift: the columns of `schema` and one with all that they could not take.
+
+    A value that can be read as its column's type fills it, else the column is NULL. Fields that the schema does not know
+    and values of another kind are kept in `rescue`, a VARIANT object by field name; it is NULL where nothing is left
+    over. A line that is no JSON object is kept whole, as `_line`. A missing path is empty.
+    """
+    try:
+        lines = spark.read.text(path) if path else None
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = None
+    if lines is None:
+        return spark.createDataFrame([], schema).withColumn(rescue, F.lit(None).cast("variant"))
+    parsed = lines.select(F.col("value").alias("_line"), F.from_json("value", "map<string,variant>").alias("_fields"))
+    given = lambda f: F.col("_fields")[f.name]
+    typed = [F.try_variant_get(given(f), "$", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    typed = parsed.select("_line", "_fields", F.struct(*typed).alias("_typed"))
+    lost = [F.when(given(f).isNotNull() & ~F.is_variant_null(given(f)) & F.col("_typed")[f.name].isNull(), F.lit(f.name)) for f in schema.fields]
+    names = [f.name for f in schema.fields]
+    left = F.map_filter("_fields", lambda k, v: ~k.isin(names) | F.array_contains(F.array_compact(F.array(*lost)), k))
+    kept = F.when(F.col("_fields").isNull(), F.to_variant_object(F.create_map(F.lit("_line"), F.col("_line"))))
+    kept = kept.when(F.size(left) > 0, F.to_variant_object(left))
+    return typed.select("_typed.*", kept.alias(rescue))
+
+
 def read_table(spark: SparkSession, name: str, jdbc: dict | None = None) -> DataFrame:
     """A catalog table, or with `jdbc` options (url, partitionColumn, bounds, numPartitions) a relational one."""
     if jdbc:

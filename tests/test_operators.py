@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens import fixed_values as fv
 from postlens.operators import assets, chunks, keys, lookups, merge, pages, quality, ranking, throttle, vectors
@@ -86,6 +87,20 @@ def test_indexed_patterns_match_as_each_does_alone(spark, chunk, literals):
     assert sorted(rows(got), key=str) == sorted(rows(expected), key=str)
 
 
+def test_fields_that_drift_are_rescued(spark, tmp_path):
+    from postlens.sources.tables import read_rescued
+
+    lines = ['{"id": 1, "name": "a", "extra": {"x": [1, 2]}}', '{"id": "7", "name": null}', '{"id": "seven", "name": 5}', "no json", "", "[1]", "{}"]
+    (tmp_path / "l.json").write_text("\n".join(lines))
+    schema = T._parse_datatype_string("id bigint, name string")
+    got = read_rescued(spark, str(tmp_path), schema).select("id", "name", F.to_json("_rescued").alias("r")).collect()
+    assert [tuple(r) for r in got] == [
+        (1, "a", '{"extra":{"x":[1,2]}}'), (7, None, None), (None, "5", '{"id":"seven"}'), (None, None, '{"_line":"no json"}'),
+        (None, None, '{"_line":""}'), (None, None, '{"_line":"[1]"}'), (None, None, None),
+    ]
+    assert read_rescued(spark, None, schema).columns == ["id", "name", "_rescued"] and read_rescued(spark, str(tmp_path / "none"), schema).isEmpty()
+
+
 def test_required_literals():
     from postlens.functions.patterns import required_literals
 

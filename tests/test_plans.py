@@ -11,7 +11,7 @@ from postlens import fixed_values as fv
 from postlens.catalog import fixture as fx
 from postlens.operators import quality
 from postlens.operators.vectors import embed_text
-from postlens.plans import alerts, build, embedding, retrieval
+from postlens.plans import alerts, build, embedding, reports, retrieval
 from postlens.sources import schemas, tables
 from postlens.sources.buckets import BucketedTable
 from postlens.streaming.ingest import ingest_stream
@@ -100,6 +100,26 @@ def test_build_takes_its_mappings_from_seeds(spark, sf, tmp_path):
     assert {r[0] for r in jobs.select("job_location").distinct().collect()} == {"Big City", None}
 
 
+def test_exact_quartiles_of_a_hot_key_lie_in_many_ranges(spark):
+    rng = np.random.default_rng(9)
+    values = [("hot", float(v)) for v in rng.normal(size=4000).round(3)] + [("b", 1.0)] * 3 + [("b", 2.0), ("n", None), (None, 5.0), (None, 7.0)]
+    frame = spark.createDataFrame(values, "k string, v double").repartition(3)
+    got = reports.exact_quartiles(frame, "k", "v", {"q1": 0.25, "q2": 0.5, "all": 1.0})
+    hot = sorted(v for k, v in values if k == "hot")
+    expected = {"hot": (hot[999], hot[1999], hot[-1]), "b": (1.0, 1.0, 2.0), None: (5.0, 5.0, 7.0)}
+    assert {r["k"]: (r["q1"], r["q2"], r["all"]) for r in got.collect()} == expected
+    assert reports.exact_quartiles(frame.limit(0), "k", "v", {"q": 0.5}).collect() == []
+
+
+def test_sketched_quartiles_are_near_in_rank(spark):
+    """The sketch of `rpt_salary_benchmark` is off by at most a ten-thousandth of the rows, in rank."""
+    rng = np.random.default_rng(10)
+    values = rng.permutation(40_000).astype(float)
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
+    found = frame.agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 10_000)).first()[0]
+    assert all(abs(v - f * 40_000) <= 40_000 / 10_000 + 1 for v, f in zip(found, (0.25, 0.5, 0.75)))
+
+
 def test_salary_bounds_are_ordered(spark, sf):
     jobs = fx.fact(spark, sf).filter("salary_min_million IS NOT NULL AND salary_max_million IS NOT NULL")
     inside = F.col("salary_avg_million").between(F.col("salary_min_million"), F.col("salary_max_million"))
