@@ -138,6 +138,9 @@ def key_sql(*parts: str) -> str:
     return "upper(md5(" + " || '|' || ".join(parts) + "))"
 
 
+# The words, patterns and labels in the CASE lists below must be what the models give.
+
+
 def extract_sql(c: str) -> str:
     span = r"\d+\s*(?:-|–|đến|to)\s*\d+\+?"
     years = r"(?:năm|years?)"
