@@ -64,7 +64,7 @@ TITLE_SQL = _text_sql(r"regexp_extract(seen, '(?is)<title\b[^>]*>(.*?)</title\s*
         FROM {SEEN_SQL}""",
 )
 def page_sections(spark, sf_dir):
-    return pages.page_text(table(spark, sf_dir, "pages"), open_ended=False).drop("last_page")
+    return pages.page_text(table(spark, sf_dir, "pages", spread=("page_id",)), open_ended=False).drop("last_page")
 
 
 @query(
@@ -75,7 +75,7 @@ def page_sections(spark, sf_dir):
 )
 def page_paragraphs(spark, sf_dir):
     """Also the last paragraphs of articles in which their end tag is missing."""
-    return pages.page_text(table(spark, sf_dir, "pages")).select("page_id", "paragraphs")
+    return pages.page_text(table(spark, sf_dir, "pages", spread=("page_id",))).select("page_id", "paragraphs")
 
 
 # The pages' own navigation stands for a pagination bar: its entries are links, and two more are added here.
