@@ -519,3 +519,16 @@ def test_assets(spark):
     assert assets.stored_or_raise(assets.store_logos(df)).count() == 2
     with pytest.raises(RuntimeError):
         assets.stored_or_raise(assets.store_logos(df.filter("logo_url = 'u3'")))
+
+
+def test_lookup_patterns_are_tried_only_on_texts_with_their_literals(spark):
+    texts = ["HÀ NỘI", "hà  nội", "Hanoi", "nội", "xx dn yy", "k", "Kelvin", "a'b", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    rows = [(r"(?iu)hà\s*nội|hanoi", "hn"), (r"\bdn\b", "dn"), ("(?iU)kelvin", "k"), ("a'b", "q"), (r"(.)\1", "twice"), ("^$", "empty")]
+    got = lookups.regex_lookup(df, F.col("t"), rows, ["v"])
+    expected = {(i, v) for i, t in enumerate(texts) for p, v in rows if t is not None and df.filter(F.col("id") == i).select(F.col("t").rlike(p)).first()[0]}
+    found = [(r["id"], r["v"]) for r in got.collect()]
+    assert {f for f in found if f[1] is not None} == expected and len(found) == len(set(found))
+    assert {i for i, v in found if v is None} == set(range(len(texts))) - {i for i, _ in expected}
+    screened = lookups.regex_lookup(df, F.col("t"), rows[:2], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert screened.count("Contains(") >= 2
