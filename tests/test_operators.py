@@ -532,3 +532,35 @@ def test_lookup_patterns_are_tried_only_on_texts_with_their_literals(spark):
     assert {i for i, v in found if v is None} == set(range(len(texts))) - {i for i, _ in expected}
     screened = lookups.regex_lookup(df, F.col("t"), rows[:2], ["v"])._jdf.queryExecution().optimizedPlan().toString()
     assert screened.count("Contains(") >= 2
+
+
+def test_values_are_looked_up_once_each(spark):
+    from postlens.operators.lookups import per_value, rows_per_value
+
+    df = spark.createDataFrame([(1, "a", "x"), (2, None, "=x"), (3, "", None), (3, "", None), (4, "a", "")], "id int, s string, t string")
+    made = per_value(df, {"s": {"s": lambda c: F.upper(c)}, "t": {"n": lambda c: F.coalesce(F.length(c), F.lit(-1))}})
+    expected = [(1, "x", "A", 1), (2, "=x", None, 2), (3, None, "", -1), (3, None, "", -1), (4, "", "A", 0)]
+    assert made.columns == ["id", "t", "s", "n"] and sorted(map(tuple, made.collect()), key=str) == expected
+
+    def step(values):  # none for "", two for "a", one for NULL
+        assert values.count() == 3
+        return values.withColumn("k", F.explode(F.expr("CASE WHEN s IS NULL THEN array(7) WHEN s = 'a' THEN array(1, 2) END")))
+
+    got = rows_per_value(df, "s", step).select("id", "s", "k")
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "a", 1), (1, "a", 2), (2, None, 7), (4, "a", 1), (4, "a", 2)]
+
+
+def test_categories_and_cities_are_looked_up_on_written_values(spark):
+    from postlens.plans import silver
+    from postlens.plans.bronze import stg_board_a_jobs
+
+    row = (1, "data engineer", "c", "l", "u", "x", "hà nội - hcm", "hybrid", "t", "d", "r", False, None)
+    staging = spark.createDataFrame(
+        [row, row],
+        "id long, title string, company string, logo_url string, url string, job_category string, working_location string, "
+        "work_model string, tags string, descriptions string, requirements_and_experiences string, "
+        "posted_to_discord boolean, created_at timestamp",
+    )
+    jobs = silver.int_board_a_jobs(stg_board_a_jobs(staging))
+    assert [r.job_category for r in jobs.collect()] == ["Data Engineer"] * 2
+    assert any("/values-" in f for f in jobs.inputFiles())
