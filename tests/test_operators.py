@@ -87,6 +87,49 @@ def test_indexed_patterns_match_as_each_does_alone(spark, chunk, literals):
     assert sorted(rows(got), key=str) == sorted(rows(expected), key=str)
 
 
+def test_placed_clauses():
+    from postlens.functions.patterns import placed_clauses
+
+    known = {  # the last clause of each
+        r"\border 12\b": [("order 12", True, True)], "(?i)PART (no )?0*12$": [("012", False, True), ("part 12", False, True), ("part no 12", False, True)],
+        r"\bx?yz": [("xyz", True, False), ("yz", True, False)], "0*12": [("12", False, False)], r"^a\.$": [("a.", True, False)],
+        r"ab$?c": [("ab", False, False)], r"a\b{g}bc": None, "(ab|cd)+ef": [("abef", False, False), ("cdef", False, False)],
+        "(?iu)(no )?task": [("ta", False, False)], r"\b(?i)AB|cd$": [("ab", True, False), ("cd", False, True)],
+        "(a|b|c)(a|b|c)(a|b|c)de": [("ade", False, False), ("bde", False, False), ("cde", False, False)], "(?!ab)cd": [("cd", False, False)],
+    }
+    got = {p: placed_clauses(p) for p in known}
+    assert {p: [tuple(literal) for literal in c[-1]] if c else None for p, c in got.items()} == known
+
+
+def test_a_long_pattern_table_is_joined_at_once(spark):
+    """No pass over the texts for each part of the patterns; literals of all lengths, at edges of words and not."""
+    from postlens import session
+
+    random.seed(3)
+    words = ["a", "ab", "12", "120", "0120", "é", "_x", "long" * 40, "ro se", "Ab", "\u212a"]
+    texts = ["".join(random.choice(words) + random.choice(["", " ", "-", "\n"]) for _ in range(8)) for _ in range(60)] + ["", None]
+    patterns = [f"{a}{w}{z}" for w in words for a in ("", r"\b", "^", "(?i)", "0*", "(no )?", "[a-z]") for z in ("", r"\b", "$")]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    table = spark.createDataFrame([(p, k) for k, p in enumerate(patterns)], "pattern string, v int")
+    before = len(session._written)
+    got = lookups.pattern_join(df, F.col("s"), table, "pattern", ["v"], 100, 5)
+    assert len(session._written) - before <= 9
+    pairs = df.crossJoin(table).filter(F.expr("s RLIKE pattern")).select("i", "v")
+    expected = df.select("i").join(pairs, "i", "left")
+    assert sorted(map(str, got.select("i", "v").collect())) == sorted(map(str, expected.select("i", "v").collect()))
+
+
+def test_literals_are_looked_up_at_their_edges(spark):
+    """A text meets a pattern once for a whole word, not for each start of the word that is another pattern's."""
+    from postlens.operators.pattern_index import literal_hits, numbered
+
+    table = spark.createDataFrame([(rf"\border {k}\b",) for k in range(1, 1300)], "_pattern string")
+    texts = spark.createDataFrame([(0, "line of order 1234, part 99"), (1, "reorder 12 border 7"), (2, "order 12")], "_row long, _text string")
+    known, literals = numbered(table)
+    hits = literal_hits(texts, literals).join(literals, "_key").join(known, "_id").select("_row", "_pattern").collect()
+    assert sorted((r[0], r[1]) for r in hits) == [(0, r"\border 1234\b"), (2, r"\border 12\b")]
+
+
 def test_fields_that_drift_are_rescued(spark, tmp_path):
     from postlens.sources.tables import read_rescued
 
