@@ -607,3 +607,27 @@ def test_categories_and_cities_are_looked_up_on_written_values(spark):
     jobs = silver.int_board_a_jobs(stg_board_a_jobs(staging))
     assert [r.job_category for r in jobs.collect()] == ["Data Engineer"] * 2
     assert any("/values-" in f for f in jobs.inputFiles())
+
+
+def test_repeated_labels_are_capitalised_once_each(spark):
+    """No capitals are worked out on the rows themselves, only on the written values; NULLs stay."""
+    from postlens.plans.bronze import stg_board_b_jobs
+
+    texts = ["title", "company", "logo_url", "url", "job_category", "working_location", "salary", "descriptions", "requirements", "experiences", "level_of_education", "work_model"]
+    schema = "id long, " + ", ".join(f"{c} string" for c in texts) + ", posted_to_discord boolean, created_at timestamp"
+    given = {"salary": " 1,000 usd", "level_of_education": "cao đẳng", "work_model": None, "title": "a-b"}
+    staging = spark.createDataFrame([tuple([i, *[given.get(c, c) for c in texts], None, None]) for i in range(3)], schema)
+    jobs = stg_board_b_jobs(staging)
+    assert [(r.title, r.salary, r.level_of_education, r.work_model) for r in jobs.collect()] == [("A-B", "1000 Usd", "Cao Đẳng", None)] * 3
+    plan = jobs._jdf.queryExecution().optimizedPlan().toString()
+    above = [line for line in plan.splitlines() if "upper(" in line]
+    assert above and not any("initcap" in line for line in above)
+
+
+def test_salary_bounds_are_searched_only_where_their_words_are(spark):
+    from postlens.functions import salary
+
+    known = {"10 - 20 triệu": (10, 20), "Từ 7 triệu": (7, None), "TỚI 9": (None, 9), "upto  5": (None, 5), "Thoả thuận": (None, None), " 3-4": (3, 4), "từ 2 tới 6": (2, 6), None: (None, None)}
+    df = spark.createDataFrame([(t,) for t in known], "s string").select("s", salary.min_salary("s").alias("a"), salary.max_salary("s").alias("b"))
+    assert {r.s: (r.a and r.a // 10**6, r.b and r.b // 10**6) for r in df.collect()} == known
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Contains(") >= 6
