@@ -631,3 +631,15 @@ def test_salary_bounds_are_searched_only_where_their_words_are(spark):
     df = spark.createDataFrame([(t,) for t in known], "s string").select("s", salary.min_salary("s").alias("a"), salary.max_salary("s").alias("b"))
     assert {r.s: (r.a and r.a // 10**6, r.b and r.b // 10**6) for r in df.collect()} == known
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Contains(") >= 6
+
+
+def test_reports_write_only_what_gold_reads(spark, sf):
+    from postlens.catalog import fixture as fx
+    from postlens.plans import gold, silver
+
+    jobs = fx.wanted_table(spark, sf, ids=False)
+    assert "job_id" not in jobs.columns and "job_id" not in gold.fct_jobs(jobs).columns
+    boards = fx.silver_a(spark, sf), fx.silver_b(spark, sf)
+    plain = silver.int_jobs_unified(*boards, fx.logos(spark, sf))  # places found in the boards themselves
+    counted = [df.groupBy("job_location", "job_category").count().collect() for df in (jobs, gold.categorised(plain))]
+    assert sorted(counted[0], key=str) == sorted(counted[1], key=str) and all(r.job_category != "Others" for r in counted[0])
