@@ -310,3 +310,53 @@ def test_buckets_that_become_empty_and_wrong_steps(spark, tmp_path):
     with pytest.raises(ValueError, match="not among"):
         table.merge(spark.createDataFrame([("a", 1)], schema), lambda state, new: spark.range(99).selectExpr("'k' || id AS url", "1 AS v"))
 
+
+
+def test_tables_on_the_way_are_deleted(spark):
+    """What a settled table was made of goes; the table itself and what others wrote stay."""
+    from pathlib import Path
+
+    from postlens import session
+
+    other = session.materialise(spark.range(3), "other")
+    inner = []
+
+    def build():
+        inner.append(session.materialise(spark.range(5), "inner"))
+        return inner[0].withColumn("n", F.col("id") * 2)
+
+    got = session.settled(spark, "outer", build)
+    folder = lambda df: Path(df.inputFiles()[0].removeprefix("file:")).parent
+    assert rows(got, "id") == [(i, 2 * i) for i in range(5)]
+    assert folder(got).exists() and folder(other).exists() and not folder(inner[0]).exists()
+
+
+def test_postings_are_written_once_for_all_model_tests(spark, sf, monkeypatch):
+    from postlens.catalog import QUERIES
+
+    written = []
+    monkeypatch.setattr(fx, "settled", lambda spark, name, build: written.append(name) or build())
+    assert len(QUERIES["quality_model_tests"](spark, sf).collect()) == 25
+    assert written == ["postings"]
+
+
+def test_texts_to_embed_are_laid_out_by_key(spark):
+    """No shuffle of whole postings; any id is told apart, and ids that are held bring nothing."""
+    from postlens.functions.text import packed_key, unpacked_key, surrogate_key
+
+    ids = ["", "00", "0a", "0A", "0AF", "\x0100", "é", "AB" * 16, None]
+    keys = spark.createDataFrame([(i,) for i in ids], "job_id string").withColumn("k", packed_key("job_id"))
+    assert rows(keys.select("job_id", unpacked_key("k"))) == [(i, i) for i in ids]
+    assert keys.select("k").distinct().count() == len(ids)
+    columns = [c for c in embedding.MAX_COLUMNS if c not in ("job_title", "descriptions")]
+    fact = spark.createDataFrame([(i, p, f"T{n}") for n, (i, p) in enumerate([("0a", "X"), ("0a", "Y"), ("0A", " "), ("é", None), (None, "Z")])], "job_id string, job_location string, job_title string")
+    fact = fact.select("*", *[F.lit(None).cast("string").alias(c) for c in columns])
+    jobs = spark.createDataFrame([("0a", "d1", None), ("0a", "d2", "r"), ("none", "d", "r"), (None, "dn", None)], "job_id string, descriptions string, requirements string")
+    held = spark.createDataFrame([("0A",), ("other",), (None,)], "job_id string")
+    got = embedding.vector_db(fact, jobs, held)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    assert sorted(map(str, got.select("job_id", "job_locations", "job_title").collect())) == sorted(
+        map(str, spark.createDataFrame([("0a", "X, Y", "T1"), ("é", None, "T3"), (None, "Z", "T4")], "job_id string, job_locations string, job_title string").collect())
+    )
+    assert "d2" in got.filter("job_id = '0a'").first()["embedding_text"]
