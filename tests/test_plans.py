@@ -360,3 +360,31 @@ def test_texts_to_embed_are_laid_out_by_key(spark):
         map(str, spark.createDataFrame([("0a", "X, Y", "T1"), ("é", None, "T3"), (None, "Z", "T4")], "job_id string, job_locations string, job_title string").collect())
     )
     assert "d2" in got.filter("job_id = '0a'").first()["embedding_text"]
+
+
+def test_models_that_do_not_read_each_other_are_built_side_by_side(spark, sf, tmp_path, monkeypatch):
+    """Two reports meet at a barrier that neither passes alone; a failing one is raised after all have ended."""
+    import threading
+
+    a, b, logos = staged(spark, sf)
+    barrier = threading.Barrier(2, timeout=120)
+
+    def waits(report):
+        return lambda *frames: (barrier.wait(), report(*frames))[1]
+
+    monkeypatch.setattr(build, "FACT_REPORTS", {name: waits(report) for name, report in build.FACT_REPORTS.items()})
+    built = build.build_all(build.Store(spark, str(tmp_path), "1"), a, b, logos)
+    assert built["rpt_platform_comparison"].count() == 2
+
+
+def test_repeated_values_are_found_by_their_hashes(spark, tmp_path):
+    checks = [quality.Check("unique", "k")]
+
+    def gate(tag, values):
+        counted = quality.measured(spark.createDataFrame([(v,) for v in values], "k string"), checks, tag)
+        counted.observed.write.parquet(f"{tmp_path}/{tag}")
+        return counted.require(spark.read.parquet(f"{tmp_path}/{tag}"))
+
+    assert gate("once", ["a", "b", None, None]).count() == 4
+    with pytest.raises(quality.QualityError, match="unique k"):
+        gate("twice", ["a", "b", "a"])
