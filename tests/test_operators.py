@@ -643,3 +643,14 @@ def test_reports_write_only_what_gold_reads(spark, sf):
     plain = silver.int_jobs_unified(*boards, fx.logos(spark, sf))  # places found in the boards themselves
     counted = [df.groupBy("job_location", "job_category").count().collect() for df in (jobs, gold.categorised(plain))]
     assert sorted(counted[0], key=str) == sorted(counted[1], key=str) and all(r.job_category != "Others" for r in counted[0])
+
+
+def test_texts_and_candidates_of_patterns_are_not_shuffled(spark):
+    """The join of a long pattern table with its texts reads both from buckets."""
+    texts = spark.createDataFrame([(i, f"line {i % 17} of {i}") for i in range(200)], "i int, s string")
+    table = spark.createDataFrame([(rf"\bof {k}\b", k) for k in range(40)] + [(r"line \d$", -1)], "pattern string, v int")
+    got = lookups.pattern_join(texts, F.col("s"), table, "pattern", ["v"], 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert sorted(tuple(r) for r in got.filter("v IS NOT NULL").select("i", "v").collect()) == [(k, k) for k in range(40)]
+    assert got.count() == 200
